@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .lines import OP2_SQL, op2_line_dedup
+from .near_dup import op1_near_dedup
 from .sharding import op4_sharding
 from .warc import OP3_SQL, op3_warc
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,3 +45,23 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns that an operator is about to produce, whatever their case."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+_SHIPPED: set[str] = set()
+
+
+def python_ready(spark: SparkSession, mb: int = 8) -> None:
+    """Let Python workers import this package, and get at most ``mb`` MB of rows at a time (a larger row comes whole).
+
+    The package is sent through Spark once for each application, so sessions started elsewhere can use it too.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        at = Path(tempfile.mkdtemp(prefix="tideline-")) / "package.zip"
+        with zipfile.ZipFile(at, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(at))
+        _SHIPPED.add(app)
