@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .licenses import OP5_SQL, op5_license_scan
 from .lines import OP2_SQL, op2_line_dedup
 from .near_dup import op1_near_dedup
 from .sharding import op4_sharding
@@ -12,8 +13,10 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
+    "op5_license_scan": op5_license_scan,
 }
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
     "op3_warc": OP3_SQL,
+    "op5_license_scan": OP5_SQL,
 }
