@@ -6,6 +6,7 @@ from .licenses import OP5_SQL, op5_license_scan
 from .lines import OP2_SQL, op2_line_dedup
 from .near_dup import op1_near_dedup
 from .sharding import op4_sharding
+from .substrings import op10_substring_dedup
 from .warc import OP3_SQL, op3_warc
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
     "op5_license_scan": op5_license_scan,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
