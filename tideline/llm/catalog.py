@@ -5,6 +5,7 @@ from __future__ import annotations
 from .licenses import OP5_SQL, op5_license_scan
 from .lines import OP2_SQL, op2_line_dedup
 from .near_dup import op1_near_dedup
+from .packing import op6_best_fit_packing
 from .sharding import op4_sharding
 from .substrings import op10_substring_dedup
 from .warc import OP3_SQL, op3_warc
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
     "op5_license_scan": op5_license_scan,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES = {
