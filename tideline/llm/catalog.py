@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .langid import op8_language_id
 from .licenses import OP5_SQL, op5_license_scan
 from .lines import OP2_SQL, op2_line_dedup
 from .near_dup import op1_near_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_license_scan": op5_license_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_language_id": op8_language_id,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES = {
