@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op9_decontamination
 from .langid import op8_language_id
 from .licenses import OP5_SQL, op5_license_scan
 from .lines import OP2_SQL, op2_line_dedup
@@ -9,6 +10,7 @@ from .near_dup import op1_near_dedup
 from .packing import op6_best_fit_packing
 from .sharding import op4_sharding
 from .substrings import op10_substring_dedup
+from .topk import OP7_SQL, op7_exact_topk
 from .warc import OP3_SQL, op3_warc
 
 QUERIES = {
@@ -18,11 +20,14 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_license_scan": op5_license_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_exact_topk": op7_exact_topk,
     "op8_language_id": op8_language_id,
+    "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
     "op3_warc": OP3_SQL,
     "op5_license_scan": OP5_SQL,
+    "op7_exact_topk": OP7_SQL,
 }
