@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from .common import python_ready, table, written
 from .components import connected_components
 
-#: Buckets of up to this many open classes are finished by comparing them pairwise across components.
-SMALL_BUCKET = 24
-#: Hub rounds before what is left is compared pairwise.
+#: A bucket is finished at once, by comparing its classes pairwise across components, if that is at most so many pairs
+#: for each of its classes.
+PAIRS_A_ROW = 16
+#: Hub rounds before what is left is compared pairwise in any case.
 HUB_ROUNDS = 6
 
 
@@ -196,6 +197,18 @@ def _agree(least: float):
     return run
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels(node, component)`` after ``links`` between nodes: components are contracted, then linked."""
+    if links.isEmpty():
+        return labels
+    of = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"{x}_of"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", F.coalesce("a_of", "a").alias("x"), F.coalesce("b_of", "b").alias("y"))
+    ends = written(ends, "ends")
+    moves = connected_components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    new = ends.select(F.col("a").alias("node")).unionByName(ends.select(F.col("b").alias("node"))).distinct().join(labels, "node", "left_anti").select("node", F.col("node").alias("component"))
+    return written(labels.unionByName(new).join(moves, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
+
+
 def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     """Every row of ``docs(doc_id, text, ...)`` as doc_id, n_shingles, component_id, kept, text_hash.
 
@@ -214,32 +227,36 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
         "classes",
     )
     banded = classes.select("node", F.explode("bands").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # Each bucket's hub is drawn by its key: a large group, which shares many buckets, gets many hubs at once.
+    drawn = F.min(F.col("node").bitwiseXOR(F.col("key"))).bitwiseXOR(F.col("key"))
+    hubs = banded.groupBy("key").agg(drawn.alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     members = written(banded.join(hubs, "key"), "buckets")
-    pairs = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(verified(pairs, classes, docs, p), "links")
-    labels = connected_components(links)
-    still = members.filter("node <> hub").select("key", "node")  # the hubs have been compared with all others
-    tested = pairs
+    pairs = written(members.filter("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "pairs")
+    labels = connected_components(verified(pairs, classes, docs, p))
+    still, tested = members.filter("node <> hub").select("key", "node"), pairs  # the hubs have met all others
     for turn in range(HUB_ROUNDS + 1):
         # Only buckets that hold several components can hold links that aren't known yet.
-        named = still.join(labels.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("order"), "node"))["node"].alias("hub")).filter("low < high")
-        still = written(named.join(mixed.drop("low", "high"), "key"), f"open{turn}")
-        small = still.filter(F.lit(turn == HUB_ROUNDS) | (F.col("n") <= SMALL_BUCKET))
-        across = small.alias("x").join(small.select("key", F.col("node").alias("b"), F.col("component").alias("other")), "key").filter("node < b and component <> other").select(F.col("node").alias("a"), "b")
-        large = still.filter((F.col("n") > SMALL_BUCKET) & F.lit(turn < HUB_ROUNDS))
-        hub_of = large.filter("node = hub").select("key", F.col("component").alias("other"))
-        spokes = large.join(hub_of, "key").filter("component <> other").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+        named = still.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        sizes = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.col("node").bitwiseXOR(F.xxhash64(F.lit(turn), "key"))).alias("drawn"))
+        mixed = (
+            sizes.groupBy("key")
+            .agg(F.count(F.lit(1)).alias("components"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"), F.min("drawn").bitwiseXOR(F.xxhash64(F.lit(turn), "key")).alias("hub"))
+            .filter("components > 1")
+            .select("key", "hub", (F.lit(turn == HUB_ROUNDS) | (F.col("n") * F.col("n") - F.col("within") <= 2 * PAIRS_A_ROW * F.col("n"))).alias("few"))
+        )
+        still = written(named.join(mixed, "key"), f"open{turn}")
+        few, many = still.filter("few"), still.filter("not few")
+        other = few.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
+        across = few.join(other, "key").filter("node < b and component <> other").select(F.col("node").alias("a"), "b")
+        hub_of = many.filter("node = hub").select("key", F.col("component").alias("other"))
+        spokes = many.join(hub_of, "key").filter("component <> other").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
         fresh = written(across.unionByName(spokes).distinct().join(tested, ["a", "b"], "left_anti"), f"pairs{turn}")
-        if fresh.isEmpty() and large.isEmpty():
+        if not fresh.isEmpty():
+            labels = merged(labels, written(verified(fresh, classes, docs, p), f"links{turn}"))
+            tested = tested.unionByName(fresh)
+        still = many.filter("node <> hub").select("key", "node")
+        if still.isEmpty():
             break
-        more = written(verified(fresh, classes, docs, p), f"links{turn}")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = connected_components(links)
-        tested = tested.unionByName(fresh)
-        still = large.filter("node <> hub").select("key", "node")
     # Smallest doc_id of each component, then of each class.
     named = classes.select("node", "d1", "d2", "first_doc").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first_doc").alias("least_doc"))
