@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .decontaminate import op9_decontamination
 from .langid import op8_language_id
 from .licenses import OP5_SQL, op5_license_scan
@@ -24,6 +26,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op2_line_dedup": OP2_SQL,

@@ -37,6 +37,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_or_shuffled(df: DataFrame, name: str, most_rows: int = 200_000) -> DataFrame:
+    """``df`` written, and marked for broadcast if it turns out to have at most ``most_rows`` (narrow) rows."""
+    rows = written(df, name)
+    return F.broadcast(rows) if rows.count() <= most_rows else rows
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

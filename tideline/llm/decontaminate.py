@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import python_ready, table
+from .common import python_ready, small_or_shuffled, table
 
 #: Edits allowed, in percent of an item's words.
 EDIT_PERCENT = 20
@@ -242,7 +242,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERC
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERCENT) -> DataFrame:
     """The rows of ``docs`` without a passage of the benchmark, as they are."""
-    lost = contaminated(docs, benchmark, percent).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct()
+    lost = small_or_shuffled(contaminated(docs, benchmark, percent).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct(), "leaks")
     own = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
     return docs.join(lost, own, "left_anti")
 
