@@ -1,9 +1,11 @@
 """MinHash near-dedup: universal hash minima, banding, signature verification, exact confirmation, star components.
 
 A document is the set of its word shingles. Documents with the same words are one class; classes that share a band of
-minima are candidates. In a bucket, one class (the hub) is compared with the others, then another hub with those that
-are still in other components, and so on: pairs within a component need no comparison, so a bucket of thousands of
-copies costs about its size, and yet no link between components is missed.
+minima are candidates. In a bucket, one class (the hub) is compared with the others: pairs within a component need no more
+comparison, so a bucket of thousands of copies costs about its size. Buckets that still hold several components are
+finished pairwise if that is few pairs, else by another hub, and at last in blocks: two blocks of a bucket meet in one
+task, which compares their signatures as matrices and returns links alone. So no link between components is missed, no
+bucket is expanded into all its pairs, and no task holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -11,8 +13,10 @@ from __future__ import annotations
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +27,11 @@ from .components import connected_components
 
 #: A bucket is finished at once, by comparing its classes pairwise across components, if that is at most so many pairs
 #: for each of its classes.
-PAIRS_A_ROW = 16
-#: Hub rounds before what is left is compared pairwise in any case.
-HUB_ROUNDS = 6
+PAIRS_A_ROW = 6
+#: Hub rounds before what is left of a bucket is compared in blocks.
+HUB_ROUNDS = 1
+#: Classes of a block.
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -33,13 +39,13 @@ class NearDup:
     """Links are pairs with 100 * |intersection| >= percent * |union| of ``words``-word shingle sets.
 
     ``bands`` bands of ``rows`` minima: a pair at the threshold is missed with probability (1 - s^rows)^bands, which is
-    3e-7 at 0.85 and 5e-6 at 0.8.
+    3e-5 for both 48 bands of 10 at 0.85 and 56 bands of 8 at 0.8.
     """
 
     words: int = 5
     percent: int = 80
-    bands: int = 40
-    rows: int = 6
+    bands: int = 56
+    rows: int = 8
     seed: int = 7
 
     @property
@@ -87,16 +93,18 @@ def shingle_set(words: list[bytes], k: int) -> np.ndarray:
 
 def _features(p: NearDup):
     rng = np.random.default_rng(p.seed)
-    mult = (rng.integers(0, 2**32, p.minima, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
-    add = rng.integers(0, 2**32, p.minima, dtype=np.uint64).astype(np.uint32)[:, None]
+    # Multiply-shift hashing: x -> a * x mod 2^32 with odd a is universal in its high bits, which decide a minimum.
+    mult = (rng.integers(0, 2**32, p.minima, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+    room = np.empty((256, p.minima), np.uint32)
     weight = rng.integers(0, 2**63, p.rows, dtype=np.uint64) | np.uint64(1)
     band_no = np.arange(p.bands, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 
     def minima(shingles: np.ndarray) -> np.ndarray:
         x = (shingles >> np.uint64(32)).astype(np.uint32)
         least = np.full(p.minima, 0xFFFFFFFF, np.uint32)
-        for i in range(0, len(x), 1024):
-            np.minimum(least, (x[None, i : i + 1024] * mult + add).min(axis=1), out=least)
+        for i in range(0, len(x), len(room)):
+            part = x[i : i + len(room), None]
+            np.minimum(least, np.multiply(part, mult, out=room[: len(part)]).min(axis=0), out=least)
         return least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,35 +170,87 @@ def _confirm(p: NearDup):
     return run
 
 
+def _shingled(p: NearDup):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(words, p.words).view(np.int64) if np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), np.int64).tolist() == [d1, d2] else None for d1, d2, words in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), map(words_of, batch.column(3).cast(pa.binary()).to_pylist()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    return run
+
+
+def class_texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, d1, d2 and text of a document of each class: of all rows with the class's first doc_id, so that readers tell
+    by d1 and d2 which is its text."""
+    keyed = nodes.join(classes.select("node", "first_doc", "d1", "d2"), "node")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.join(keyed, rows["doc_id"].eqNullSafe(keyed["first_doc"])).select("node", "d1", "d2", "text").filter("text is not null")
+
+
+def _least_agreement(p: NearDup) -> float:
+    """Share of equal signature bytes, less chance, that linked sets have: five standard errors below the threshold."""
+    share = p.percent / 100
+    return share - 5 * (share * (1 - share) / p.minima) ** 0.5
+
+
+def _agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Estimated similarity of signatures, row by row or all against all as their shapes have it."""
+    return (np.count_nonzero(x == y, axis=-1) / x.shape[-1] - 1 / 256) / (1 - 1 / 256)
+
+
+def _blocks_linked(p: NearDup):
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            signs = [np.stack([np.frombuffer(x, np.uint8) for x in side["sign"]]) for side in (left, right)]
+            sets = [[np.sort(np.asarray(x, np.int64)) for x in side["shingles"]] for side in (left, right)]
+            nodes, parts = ([side[c].to_numpy() for side in (left, right)] for c in ("node", "component"))
+            for i in range(len(left)):
+                may = (parts[1] != parts[0][i]) & ((nodes[1] > nodes[0][i]) if key[1] == key[2] else True)
+                at = np.flatnonzero(may)
+                at = at[_agreement(signs[0][i][None, :], signs[1][at]) >= _least_agreement(p)]
+                for j in at.tolist():
+                    x, y = sets[0][i], sets[1][j]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * both >= p.percent * (len(x) + len(y) - both):
+                        found.append((int(nodes[0][i]), int(nodes[1][j])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def block_links(rows: DataFrame, classes: DataFrame, docs: DataFrame, p: NearDup) -> DataFrame:
+    """Links between components among ``rows(key, n, node, component)``: classes of a bucket of n, by their full sets."""
+    sets = class_texts(rows.select("node").distinct(), classes, docs).mapInArrow(_shingled(p), "node long, shingles array<long>").filter("shingles is not null").dropDuplicates(["node"])
+    full = rows.join(sets, "node").join(classes.select("node", "sign"), "node")
+    number = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = written(full.withColumns({"blocks": number, "block": F.pmod(F.xxhash64("node"), number).cast("int")}), "blocks")
+    side = ["node", "component", "sign", "shingles"]
+    left = placed.select("key", F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), *side)
+    right = placed.select(F.col("key").alias("key_"), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i_"), F.col("block").alias("j_"), *[F.col(c).alias(c) for c in side])
+    return left.groupBy("key", "i", "j").cogroup(right.groupBy("key_", "i_", "j_")).applyInPandas(_blocks_linked(p), "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, p: NearDup) -> DataFrame:
     """The ``pairs(a, b)`` of classes that are links: first by signatures, then on full sets."""
     spark = pairs.sparkSession
     left = classes.select(F.col("node").alias("a"), F.col("sign").alias("a_sign"), F.col("n_shingles").alias("a_n"))
     right = classes.select(F.col("node").alias("b"), F.col("sign").alias("b_sign"), F.col("n_shingles").alias("b_n"))
-    # Equal bytes of the two signatures estimate the similarity; six standard errors below the threshold is no link.
-    share = p.percent / 100
-    least = share - 6 * (share * (1 - share) / p.minima) ** 0.5
     sized = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * p.percent
     signed = pairs.join(left, "a").join(right, "b").filter(sized).select("a", "b", "a_sign", "b_sign")
-    near = written(signed.mapInArrow(_agree(least), "a long, b long"), "candidates")
+    near = written(signed.mapInArrow(_agree(p), "a long, b long"), "candidates")
     wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    keyed = wanted.join(classes.select("node", "first_doc", "d1", "d2"), "node")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = rows.join(keyed, rows["doc_id"].eqNullSafe(keyed["first_doc"])).select("node", "d1", "d2", "text").filter("text is not null")
+    texts = class_texts(wanted, classes, docs)
     side = lambda x: texts.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("d1", "d2", "text")])
     python_ready(spark)
     return near.join(side("a"), "a").join(side("b"), "b").mapInArrow(_confirm(p), "a long, b long").distinct()
 
 
-def _agree(least: float):
+def _agree(p: NearDup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                equal = np.count_nonzero(x == y) / len(x)
-                if (equal - 1 / 256) / (1 - 1 / 256) >= least:
-                    found.append(i)
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, p.minima) for i in (2, 3))
+            found = np.flatnonzero(_agreement(x, y) >= _least_agreement(p))
             take = pa.array(found, pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], names=["a", "b"])
 
@@ -229,7 +289,10 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     banded = classes.select("node", F.explode("bands").alias("key"))
     # Each bucket's hub is drawn by its key: a large group, which shares many buckets, gets many hubs at once.
     drawn = F.min(F.col("node").bitwiseXOR(F.col("key"))).bitwiseXOR(F.col("key"))
-    hubs = banded.groupBy("key").agg(drawn.alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    print_ = F.bit_xor(F.xxhash64("node")).alias("print")
+    hubs = banded.groupBy("key").agg(drawn.alias("hub"), F.count(F.lit(1)).alias("n"), print_).filter("n > 1")
+    # Buckets of the same classes say the same: one of them is enough.
+    hubs = hubs.groupBy("n", "print").agg(F.min("key").alias("key"), F.min_by("hub", "key").alias("hub")).select("key", "hub")
     members = written(banded.join(hubs, "key"), "buckets")
     pairs = written(members.filter("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "pairs")
     labels = connected_components(verified(pairs, classes, docs, p))
@@ -242,7 +305,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
             sizes.groupBy("key")
             .agg(F.count(F.lit(1)).alias("components"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"), F.min("drawn").bitwiseXOR(F.xxhash64(F.lit(turn), "key")).alias("hub"))
             .filter("components > 1")
-            .select("key", "hub", (F.lit(turn == HUB_ROUNDS) | (F.col("n") * F.col("n") - F.col("within") <= 2 * PAIRS_A_ROW * F.col("n"))).alias("few"))
+            .select("key", "hub", "n", (F.col("n") * F.col("n") - F.col("within") <= 2 * PAIRS_A_ROW * F.col("n")).alias("few"))
         )
         still = written(named.join(mixed, "key"), f"open{turn}")
         few, many = still.filter("few"), still.filter("not few")
@@ -250,10 +313,13 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
         across = few.join(other, "key").filter("node < b and component <> other").select(F.col("node").alias("a"), "b")
         hub_of = many.filter("node = hub").select("key", F.col("component").alias("other"))
         spokes = many.join(hub_of, "key").filter("component <> other").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-        fresh = written(across.unionByName(spokes).distinct().join(tested, ["a", "b"], "left_anti"), f"pairs{turn}")
-        if not fresh.isEmpty():
-            labels = merged(labels, written(verified(fresh, classes, docs, p), f"links{turn}"))
-            tested = tested.unionByName(fresh)
+        fresh = written((across if turn == HUB_ROUNDS else across.unionByName(spokes)).distinct().join(tested, ["a", "b"], "left_anti"), f"pairs{turn}")
+        found = [] if fresh.isEmpty() else [verified(fresh, classes, docs, p)]
+        if turn == HUB_ROUNDS and not many.isEmpty():
+            found.append(block_links(many.select("key", "n", "node", "component"), classes, docs, p))
+        if found:
+            labels = merged(labels, written(reduce(DataFrame.unionByName, found), f"links{turn}"))
+        tested = tested.unionByName(fresh)
         still = many.filter("node <> hub").select("key", "node")
         if still.isEmpty():
             break
@@ -278,7 +344,7 @@ def drop_near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
 
 
 #: The contract of op1: 3-word shingles at 0.85.
-OP1 = NearDup(words=3, percent=85, bands=32, rows=6)
+OP1 = NearDup(words=3, percent=85, bands=48, rows=10)
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
