@@ -9,8 +9,10 @@ packed again, until the total meets the bound of the whole or a round saves noth
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,38 +33,75 @@ MAX_ROUNDS = 6
 class Tokenizer:
     """Token ids of texts, equal to those of the tokenizer itself.
 
-    This vocabulary's pre-tokenizer never joins characters across white space, so a text's ids are those of its
-    white-space separated parts, and parts repeat: their ids are remembered, new ones are encoded in batches. Texts in
-    which that doesn't hold go through the tokenizer whole: those with special tokens' marks, with control characters
-    that Python takes for white space and the tokenizer doesn't, and with combining marks after white space.
+    This vocabulary's pre-tokenizer never joins characters across white space, nor letters with what isn't a letter, so a
+    text's ids are those of its white-space separated parts, and those of "word," are those of "word" and ",". Parts and
+    lower-cased words repeat: their ids are remembered, new words are encoded many at a time. Texts in which that doesn't
+    hold go through the tokenizer whole: those with special tokens' marks, with control characters that Python takes for
+    white space and the tokenizer doesn't, and with combining marks after white space.
     """
 
-    def __init__(self, path: str, remember: int = 250_000):
+    def __init__(self, path: str, remember: int = 500_000):
         from tokenizers import Tokenizer as Backend
 
-        self.backend, self.known, self.remember = Backend.from_file(path), {}, remember
+        self.backend, self.remember = Backend.from_file(path), remember
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks = dict(zip(",.", self._encode([",", "."]), strict=True))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.backend.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.backend.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters: encoded as one line, and split where the tokenizer's words end."""
+        line = self.backend.encode(" ".join(words), add_special_tokens=False)
+        number, ids = np.array(line.word_ids, np.int64), np.array(line.ids, np.uint32)
+        starts = np.flatnonzero(np.diff(number, prepend=-1))
+        if len(starts) != len(words):
+            return self._encode(words)
+        raw, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
+        return [raw[a:b] for a, b in zip((4 * starts).tolist(), ends, strict=True)]
+
+    def _learn(self, parts: set[str]) -> None:
+        plain: list[tuple[str, str, bytes]] = []
+        other: list[str] = []
+        for part in parts:
+            mark = self.marks.get(part[-1], b"")
+            word = part[:-1] if mark else part
+            low = word.lower()
+            if low.isalpha() and (word.isascii() or "\u03a3" not in word and unicodedata.is_normalized("NFC", word) and word.isalpha()):
+                plain.append((part, low, mark))
+            else:
+                other.append(part)
+        if len(self.words) > self.remember:
+            self.words, self.older = {}, self.words
+        fresh = {low for _, low, _ in plain}.difference(self.words)
+        self.words.update((low, self.older[low]) for low in fresh if low in self.older)
+        new = list(fresh.difference(self.words))
+        for i in range(0, len(new), 2000):
+            self.words.update(zip(new[i : i + 2000], self._encode_words(new[i : i + 2000]), strict=True))
+        self.known.update((part, self.words[low] + mark) for part, low, mark in plain)
+        self.known.update(zip(other, self._encode(other), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [None if self._whole(t) else t.split() for t in texts]
         if len(self.known) > self.remember:
             self.known.clear()
-        new = list({w for words in split if words for w in words} - self.known.keys())
-        for i in range(0, len(new), 10_000):
-            self.known.update(zip(new[i : i + 10_000], self._encode(new[i : i + 10_000]), strict=True))
-        known = self.known
-        return [self._encode([t])[0] if words is None else b"".join([known[w] for w in words]) for t, words in zip(texts, split, strict=True)]
+        self._learn(set().union(*filter(None, split)).difference(self.known))
+        get = self.known.__getitem__
+        return [self._encode([t])[0] if parts is None else b"".join(map(get, parts)) for t, parts in zip(texts, split, strict=True)]
 
     @staticmethod
     def _whole(text: str) -> bool:
-        if text.isascii():
-            return "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f")
-        return "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f") or any(unicodedata.combining(w[0]) for w in text.split() if ord(w[0]) > 767)
+        if "<|" in text or _CONTROLS.search(text):
+            return True
+        return not text.isascii() and any(unicodedata.combining(m[0][-1]) for m in _AFTER_BLANK.finditer(text))
 
 
+_CONTROLS = re.compile("[\x1c-\x1f]")
+#: The first character of a part, where it may be a combining mark.
+_AFTER_BLANK = re.compile(r"(?:^|\s)[\u0300-\U0010ffff]")
 _TOKENIZERS: dict[str, Tokenizer] = {}
 
 
