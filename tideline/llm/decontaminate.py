@@ -96,6 +96,17 @@ class Index:
         for i, (_, x) in enumerate(self.items):
             for key in set(self.keys([x], np.array([len(x)]))[:, 0].tolist()):
                 self.tables[key].append(i)
+        self.table_keys = np.array(sorted(self.tables), np.uint64)
+
+    def met(self, windows: list[np.ndarray], lengths: np.ndarray) -> list[set[int]]:
+        """The items that each window meets in a table."""
+        found: list[set[int]] = [set() for _ in windows]
+        if len(windows) and len(self.table_keys):
+            keys = self.keys(windows, lengths)
+            hit = self.table_keys[np.minimum(np.searchsorted(self.table_keys, keys), len(self.table_keys) - 1)] == keys
+            for r, w in zip(*np.nonzero(hit), strict=True):
+                found[w].update(self.tables[int(keys[r, w])])
+        return found
 
     def needed(self, m: int) -> int:
         return max(1, m - 1 - 2 * edits_allowed(m, self.percent))
@@ -135,48 +146,88 @@ class Index:
         sheet = np.full((n, width + 1), np.uint64(0xFFFFFFFF), np.uint64)  # the end, again and again
         for i, x in enumerate(windows):
             sheet[i, : len(x)] = (x + 1).astype(np.uint64)  # 0: a word no item has
-        row, place = np.arange(n), np.zeros((REPEATS, n), np.int64)
-        picks = (self.sampled[:, :, None] * (2 * lengths)[None, None, :]).astype(np.int64)
+        symbols, first, place = sheet.ravel(), np.arange(n) * (width + 1), np.zeros((REPEATS, n), np.int64)
+        steps = int(2 * lengths.max(initial=0))
+        walked = np.empty((steps, REPEATS, n), np.uint64)
+        for step in range(steps):
+            symbol = np.take(symbols, first + np.minimum(place, width), out=walked[step])
+            mixed = (symbol + (self.salt + np.uint64(step * 0xD6E8FEB86659FD93 % 2**64))) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed ^= mixed >> np.uint64(31)
+            mixed *= np.uint64(0x94D049BB133111EB)
+            place += (mixed >> np.uint64(63)).view(np.int64)
         out = np.broadcast_to(lengths.astype(np.uint64), (REPEATS, n)) * np.uint64(0x9E3779B97F4A7C15) + self.salt
-        for step in range(int(2 * lengths.max(initial=0))):
-            symbol = sheet[row, np.minimum(place, width)]
-            mixed = (symbol + self.salt + np.uint64(step * 0xD6E8FEB86659FD93 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
-            place += ((mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) >> np.uint64(63)).astype(np.int64)
-            for s in range(SAMPLES):
-                taken = picks[:, s] == step
-                out = np.where(taken, (out ^ (symbol + np.uint64(s + 1))) * np.uint64(0x94D049BB133111EB) + np.uint64(step), out)
+        for s in range(SAMPLES):
+            at = (self.sampled[:, s, None] * (2 * lengths)[None, :]).astype(np.int64)
+            taken = np.take_along_axis(walked, at[None], axis=0)[0]
+            out = (out ^ (taken + np.uint64(s + 1))) * np.uint64(0x94D049BB133111EB) + at.astype(np.uint64)
         return out ^ (out >> np.uint64(32))
 
 
+class _Numbers(dict):
+    """The number of the word in a white-space separated part: -1 for a word no item has, -2 for no word, and -3 - i for
+    several words, whose numbers are ``several[i]``. Remembered for the frequent parts."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        super().__init__()
+        self.vocabulary = vocabulary
+        self.several: list[np.ndarray] = []
+
+    def forget(self) -> None:
+        if len(self) > 500_000:
+            self.clear()
+            self.several.clear()
+
+    def __missing__(self, part: str) -> int:
+        get = self.vocabulary.get
+        if part.isalpha():
+            n = get(part.lower(), -1)
+        elif part[-1] in ",.!?;:" and part[:-1].isalpha():
+            n = get(part[:-1].lower(), -1)
+        else:
+            words = [get(w.lower(), -1) for w in _WORD.findall(part)]
+            n = words[0] if len(words) == 1 else -2
+            if len(words) > 1:
+                self.several.append(np.array(words, np.int64))
+                n = -2 - len(self.several)
+        self[part] = n
+        return n
+
+
 class Scan:
     """Finds an index's items in texts."""
 
     def __init__(self, index: Index):
         self.index = index
-        self.numbers: dict[str, int] = {}
-
-    def _number(self, word: str) -> int:
-        n = self.index.vocabulary.get(word.lower(), -1)
-        if len(self.numbers) > 200_000:
-            self.numbers.clear()
-        self.numbers[word] = n
-        return n
+        self.numbers = _Numbers(index.vocabulary)
+
+    def _words(self, text: str) -> np.ndarray:
+        """Numbers of a text's words, -1 for those no item has. Words never span white space, so parts do for most."""
+        self.numbers.forget()
+        parts = text.split()
+        found = np.fromiter(map(self.numbers.__getitem__, parts), np.int64, len(parts))
+        many = np.flatnonzero(found <= -3)
+        if len(many):
+            pieces, last = [], 0
+            for at in many.tolist():
+                pieces += [found[last:at], self.numbers.several[-3 - int(found[at])]]
+                last = at + 1
+            found = np.concatenate([*pieces, found[last:]])
+        return found[found != -2]
 
     def __call__(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(text, item_id, start, length, distance) with offsets in characters: for each item, the closest windows that
         don't overlap (ties to the first)."""
-        index, get = self.index, self.numbers.get
+        index = self.index
         open_: list[tuple[int, int, int, np.ndarray]] = []
         for t, text in enumerate(texts):
-            words = _WORD.findall(text)
-            numbers = np.array([n if (n := get(w)) is not None else self._number(w) for w in words], np.int64)
+            numbers = self._words(text)
             open_.extend((t, m, s, numbers[s : s + m + edits_allowed(m, index.percent)]) for m, starts in index.starts(numbers) for s in starts.tolist())
         best: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
-        for lo in range(0, len(open_), 2000):
-            part = open_[lo : lo + 2000]
-            keys = index.keys([x[3][: x[1]] for x in part], np.array([x[1] for x in part]))
-            for (t, m, s, window), own in zip(part, keys.T.tolist(), strict=True):
-                for i in {i for key in own for i in index.tables.get(key, ())}:
+        for lo in range(0, len(open_), 500):
+            part = open_[lo : lo + 500]
+            met = index.met([x[3][: x[1]] for x in part], np.array([x[1] for x in part]))
+            for (t, m, s, window), own in zip(part, met, strict=True):
+                for i in own:
                     item = index.items[i][1]
                     if len(item) == m:
                         d, n = prefix_distance(item, window)
