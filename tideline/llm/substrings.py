@@ -120,9 +120,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for text, spans in zip(batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist(), strict=True):
             kept, last = [], 0
-            for start, length in spans:
-                kept.append(text[last:start])
-                last = start + length
+            for span in spans:
+                kept.append(text[last : span["start"]])
+                last = span["start"] + span["length"]
             # A cut may fall inside a character; what is left of it goes.
             out.append(b"".join([*kept, text[last:]]).decode("utf-8", "ignore"))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["__doc", "__hash", "__text"])
