@@ -2,7 +2,7 @@
 
 Headers are shuffled by payload digest to find, for equal payloads, the one record that keeps the payload; pages are
 written as WARC records by Spark's text writer (records are text, their terminator is a line separator to it) and read
-back by the head line of the run, so archives stay splittable at any size.
+back by the head line of the run. Archives are gzip files, as many as the pages have partitions.
 """
 
 from __future__ import annotations
@@ -90,8 +90,8 @@ def write_archives(planned: DataFrame, path: str, date: str = "2024-01-01T00:00:
     about = "software: tideline" + CRLF
     info = f"{run_head(run)}WARC-Type: warcinfo{CRLF}WARC-Record-ID: <urn:uuid:{run}>{CRLF}WARC-Date: {date}{CRLF}Content-Type: application/warc-fields{CRLF}Content-Length: {len(about)}{CRLF}{CRLF}{about}{CRLF}"
     records = planned.select(record.alias("value"))
-    records.write.option("lineSep", CRLF).text(f"{path}/records")
-    planned.sparkSession.range(1).select(F.lit(info).alias("value")).coalesce(1).write.option("lineSep", CRLF).text(f"{path}/info")
+    records.write.option("lineSep", CRLF).option("compression", "gzip").text(f"{path}/records")
+    planned.sparkSession.range(1).select(F.lit(info).alias("value")).coalesce(1).write.option("lineSep", CRLF).option("compression", "gzip").text(f"{path}/info")
     return run
 
 
