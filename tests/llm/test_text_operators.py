@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.oracle import DATA, assert_agrees
 from tideline.llm import catalog
 from tideline.llm.decontaminate import Index, Scan, benchmark_words, contaminated, drop_contaminated, edits_allowed, prefix_distance
-from tideline.llm.langid import identify, training_rows
+from tideline.llm.langid import fit, gram_counts, identify, kneser_ney, training_rows, word_scores
 from tideline.llm.licenses import scan_licenses
 from tideline.llm.license_templates import TEMPLATES
 from tideline.llm.lines import remove_boilerplate
@@ -145,3 +145,21 @@ def test_nothing_to_learn(spark):
 def test_queries_without_sql_run(spark):
     for name in ("op8_language_id", "op9_decontamination", "op10_substring_dedup"):
         assert catalog.QUERIES[name](spark, DATA).count() >= 0
+
+
+def test_models_in_tables_use_every_gram(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.unionByName(spark.createDataFrame([(10**6, None, None), (10**6 + 1, "12 !", None), (10**6 + 2, "xqzjvkw qqqq " * 5 + "漢字" * 50, None)], docs.schema)).repartition(3)
+    whole = {(r.doc_id, r.text_hash): r for r in identify(docs, training_rows()).collect()}
+    tables = {(r.doc_id, r.text_hash): r for r in identify(docs, training_rows(), max_grams=1000).collect()}
+    assert whole.keys() == tables.keys()
+    for key, a in whole.items():
+        b = tables[key]
+        assert (a.lang_pred, a.rejected) == (b.lang_pred, b.rejected) and abs(a.score - b.score) < 1e-3 and abs((a.bits or 0) - (b.bits or 0)) < 1e-3
+    train = docs.filter(training_rows()).select("lang", "text")
+    counts = gram_counts(train)
+    words = spark.createDataFrame([("the",), ("qqq",), ("漢字",), ("a",)], "word string")
+    model = fit(counts)
+    want = dict(zip(["the", "qqq", "漢字", "a"], model.word_scores(["the", "qqq", "漢字", "a"]).tolist(), strict=True))
+    for r in word_scores(words, kneser_ney(counts), model.langs).collect():
+        assert r.scores == pytest.approx(want[r.word], abs=1e-3)

@@ -2,8 +2,9 @@
 
 Words of lower-cased letters, set between blanks, are the model's sentences: a character is predicted from up to four
 before it, never across a word's start. Spark counts n-grams of all training texts and derives the Kneser-Ney
-probabilities; they are looked up in sorted arrays of n-gram hashes, all languages at once. A text gets the language
-of the lowest cross-entropy per character, and is rejected where that lies beyond what training texts of its length show.
+probabilities; they are looked up in sorted arrays of n-gram hashes, all languages at once, or where those are too many
+for one machine, joined to the corpus's distinct n-grams and words. A text gets the language of the lowest cross-entropy
+per character, and is rejected where that lies beyond what training texts of its length show.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import re
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,12 @@ from .common import python_ready, small_or_shuffled, table, without, written
 ORDER = 5
 #: Characters a language is taken to have besides those seen, for the uniform law under the unigrams.
 UNSEEN = 256
-#: Capacity of the model in n-grams of the top order; beyond it, rare ones are cut off (count cutoffs, as usual).
+#: Most counted n-grams of a model that is sent to the tasks whole, and most languages for each of them on average; a
+#: larger one stays in tables. Both hold every n-gram.
 MAX_GRAMS = 2_000_000
+MANY_LANGS = 8
+#: Words whose scores go to the tasks whole when the model stays in tables: the most frequent.
+FREQUENT_WORDS = 100_000
 #: Rejection: beyond this quantile of the training texts of about the same length, and a margin.
 QUANTILE, MARGIN = 0.999, 1.5
 UNDETERMINED = "und"
@@ -222,7 +228,7 @@ class Scorer:
         return out
 
 
-_SCORERS: dict[str, Scorer] = {}
+_SCORERS: dict[str, Scorer | tuple[dict[str, int], np.ndarray]] = {}
 
 
 def _scored(shared, name: str):
@@ -243,29 +249,129 @@ def _scored(shared, name: str):
     return run
 
 
-def fit(train: DataFrame, max_grams: int = MAX_GRAMS) -> Model:
-    """A model of the languages of ``train(lang, text)``. Every text counts; the driver gets the model alone, whose size
-    ``max_grams`` bounds."""
-    counts = written(gram_counts(train), "grams")
-    least, kept = 1, counts
-    while kept.count() > max_grams:
-        least *= 2
-        kept = counts.filter((F.col("a") >= least) | (F.length("gram") < ORDER))
-        if least > 1 << 40:
-            raise ValueError("max_grams is too small for the n-grams at word starts")
-    return Model([level.toArrow() for level in kneser_ney(kept)])
+def fit(counts: DataFrame) -> Model:
+    """The model of ``counts``, which has to fit the driver."""
+    return Model([level.toArrow() for level in kneser_ney(counts)])
 
 
-def identify(docs: DataFrame, learn: Column, lang: str = "lang") -> DataFrame:
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """text -> word, n, summed up over many texts."""
+    seen: Counter[str] = Counter()
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            seen.update(words_of(text))
+        if len(seen) > 250_000:
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+            seen.clear()
+    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """word -> word, gram: the longest n-gram at each place of the word and at its closing blank."""
+    for batch in batches:
+        words = batch.column(0).to_pylist()
+        for lo in range(0, len(words), 20_000):
+            out = [(w, line[max(0, i + 1 - ORDER) : i + 1]) for w in words[lo : lo + 20_000] for line in (f" {w} ",) for i in range(1, len(line))]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()), pa.array([g for _, g in out], pa.string())], names=["word", "gram"])
+
+
+def word_scores(words: DataFrame, levels: list[DataFrame], langs: list[str]) -> DataFrame:
+    """``words(word, ...)``, distinct -> word, scores: log2 probability with the closing blank in each of ``langs``, as
+    ``Model.word_scores``. Each n-gram of the words is scored once, from the shortest up: by its own probability, or by
+    its context's backoff and its suffix."""
+    places = written(words.select("word").mapInArrow(_places, "word string, gram string"), "places")
+    need = {ORDER: places.filter(F.length("gram") == ORDER).select("gram").distinct()}
+    for n in range(ORDER - 1, 0, -1):
+        own = places.filter(F.length("gram") == n).select("gram")
+        need[n] = own.unionByName(need[n + 1].select(F.expr(f"right(gram, {n})").alias("gram"))).distinct()
+    by_lang = lambda value: F.map_from_entries(F.collect_list(F.struct("lang", value)))
+    names, lower, scored = F.array(*[F.lit(x) for x in langs]), None, []
+    for n, level in enumerate(levels, 1):
+        own = level.groupBy("gram").agg(by_lang("logp").alias("own"))
+        rows = need[n].join(own, "gram", "left")
+        if n == 1:
+            floors = {r["lang"]: r["floor"] for r in level.select("lang", (F.col("backoff") - F.log2(F.col("kinds") + UNSEEN)).alias("floor")).distinct().collect()}  # one row a language
+            rows = rows.withColumn("low", F.array(*[F.lit(float(floors[x])) for x in langs])).withColumn("back", F.lit(None).cast("map<string,double>"))
+        else:
+            context = F.expr(f"left(gram, {n - 1})")
+            backs = level.select("lang", context.alias("context"), "backoff").distinct().groupBy("context").agg(by_lang("backoff").alias("back"))
+            rows = rows.withColumns({"context": context, "suffix": F.expr(f"right(gram, {n - 1})")}).join(backs, "context", "left").join(lower.select(F.col("gram").alias("suffix"), F.col("scores").alias("low")), "suffix")
+        value = F.transform(names, lambda x, i: F.coalesce(F.col("own")[x], F.coalesce(F.col("back")[x], F.lit(0.0)) + F.get("low", i)))
+        lower = written(rows.select("gram", value.alias("scores")), f"scores{n}")
+        scored.append(lower)
+    every = reduce(DataFrame.unionByName, scored[1:])
+    return places.join(every, "gram").groupBy("word").agg(_summed("scores", len(langs)).alias("scores"))
+
+
+def _summed(scores: str, n: int) -> Column:
+    return F.array(*[F.sum(F.col(scores)[i]) for i in range(n)])
+
+
+def _partly_scored(shared, name: str, langs: int):
+    """(..., text) -> ..., chars, scores of the frequent words together, and the other words with their numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if name not in _SCORERS:
+            _SCORERS.clear()
+            words, rows = shared.value
+            _SCORERS[name] = {w: i for i, w in enumerate(words)}, rows
+        known, rows = _SCORERS[name]
+        for batch in batches:
+            chars, scores, rest = [], [], []
+            for text in batch.column(batch.num_columns - 1).to_pylist():
+                words = words_of(text or "")
+                chars.append(sum(map(len, words)) + len(words))
+                own = [known[w] for w in words if w in known]
+                scores.append(rows[own].sum(axis=0) if own else np.zeros(langs))
+                rest.append([{"word": w, "n": n} for w, n in Counter(w for w in words if w not in known).items()])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(chars, pa.int64()), pa.array([x.tolist() for x in scores], pa.list_(pa.float64())), pa.array(rest, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))],
+                names=[*batch.schema.names[:-1], "chars", "scores", "rest"],
+            )
+
+    return run
+
+
+_KEYS = "doc_id long, text_hash long, learned boolean, given string"
+_SCORED = f"{_KEYS}, lang_pred string, score double, bits double, chars long"
+
+
+def scored_by_tables(rows: DataFrame, counts: DataFrame, frequent: int = FREQUENT_WORDS) -> DataFrame:
+    """What ``Scorer`` says of ``rows(doc_id, text_hash, learned, given, text)``, with a model of any size: distinct words
+    are scored in joins, the ``frequent`` most frequent go to the tasks, and the texts' other words are joined."""
+    spark = rows.sparkSession
+    levels = kneser_ney(counts)
+    langs = sorted(r["lang"] for r in levels[0].select("lang").distinct().collect())
+    counted = rows.filter("text is not null").select("text").mapInArrow(_word_counts, "word string, n long")
+    words = written(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    scores = written(word_scores(words, levels, langs).join(words, "word"), "word_scores")
+    top = scores.orderBy(F.desc("n"), "word").limit(frequent)
+    common = top.select("word", "scores").toArrow()
+    matrix = common.column("scores").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs))
+    shared = spark.sparkContext.broadcast((common.column("word").to_pylist(), matrix))
+    fields = f"{_KEYS}, row long, chars long, scores array<double>, rest array<struct<word:string,n:long>>"
+    numbered = rows.select("doc_id", "text_hash", "learned", "given", F.monotonically_increasing_id().alias("row"), "text")
+    partly = written(numbered.mapInArrow(_partly_scored(shared, uuid.uuid4().hex, len(langs)), fields), "partly")
+    rest = partly.select("row", F.explode("rest").alias("w")).select("row", "w.word", "w.n").join(scores.select("word", F.col("scores").alias("own")), "word")
+    more = rest.groupBy("row").agg(F.array(*[F.sum(F.col("own")[i] * F.col("n")) for i in range(len(langs))]).alias("more"))
+    both = partly.join(more, "row", "left")
+    total = F.transform("scores", lambda x, i: -(x + F.coalesce(F.get("more", i), F.lit(0.0))) / F.col("chars"))
+    bits = both.withColumn("all", F.when(F.col("chars") > 0, total)).withColumn("bits", F.array_min("all"))
+    share = F.aggregate("all", F.lit(0.0), lambda a, b: a + F.pow(F.lit(2.0), (F.col("bits") - b) * F.least("chars", F.lit(64))))
+    lang = F.get(F.array(*[F.lit(x) for x in langs]), (F.array_position("all", F.col("bits")) - 1).cast("int"))
+    return bits.select("doc_id", "text_hash", "learned", "given", F.coalesce(lang, F.lit(UNDETERMINED)).alias("lang_pred"), F.coalesce(1.0 / share, F.lit(0.0)).alias("score"), "bits", "chars")
+
+
+def identify(docs: DataFrame, learn: Column, lang: str = "lang", max_grams: int = MAX_GRAMS) -> DataFrame:
     """Every row of ``docs(doc_id, text, lang, ...)`` as doc_id, text_hash, lang_pred, score, rejected.
 
-    The model learns from rows where ``learn`` holds and text and ``lang`` aren't null; a prediction sees the text
-    alone. lang_pred is ``und`` with score 0 for null texts and texts without a letter, and for all where nothing was
-    learned; those are rejected too. Equal texts get equal predictions.
+    The model learns from rows where ``learn`` holds and text and ``lang`` aren't null, from all their n-grams; a
+    prediction sees the text alone. lang_pred is ``und`` with score 0 for null texts and texts without a letter, and for
+    all where nothing was learned; those are rejected too. Equal texts get equal predictions. A model of more than
+    ``max_grams`` n-grams stays in tables, which changes no result but in rounding.
     """
     spark = docs.sparkSession
-    model = fit(docs.filter(learn).select(F.col(lang).alias("lang"), "text"))
-    shared, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
+    counts = written(gram_counts(docs.filter(learn).select(F.col(lang).alias("lang"), "text")), "grams")
     python_ready(spark)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -274,14 +380,20 @@ def identify(docs: DataFrame, learn: Column, lang: str = "lang") -> DataFrame:
         F.col(lang).cast("string").alias("given"),
         F.col("text").cast("string").alias("text"),
     )
-    scored = written(rows.mapInArrow(_scored(shared, name), "doc_id long, text_hash long, learned boolean, given string, lang_pred string, score double, bits double, chars long"), "scored")
-    size = F.floor(F.log2(F.col("chars").cast("double"))).cast("int")
+    size = counts.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("lang").alias("langs")).first()
+    if size["n"] <= max_grams and size["n"] * size["langs"] <= max_grams * MANY_LANGS:
+        shared = spark.sparkContext.broadcast(fit(counts))
+        found = rows.mapInArrow(_scored(shared, uuid.uuid4().hex), _SCORED)
+    else:
+        found = scored_by_tables(rows, counts)
+    scored = written(found, "scored")
+    length = F.floor(F.log2(F.col("chars").cast("double"))).cast("int")
     right = scored.filter("learned and bits is not null and lang_pred = given")
     # At most 63 sizes, so both frames are tiny whatever the corpus.
-    usual = right.groupBy(size.alias("size")).agg(F.percentile_approx("bits", QUANTILE, 10_000).alias("usual"))
+    usual = right.groupBy(length.alias("size")).agg(F.percentile_approx("bits", QUANTILE, 10_000).alias("usual"))
     overall = right.agg(F.percentile_approx("bits", QUANTILE, 10_000).alias("overall")).first()["overall"]
     limit = F.greatest(F.col("usual"), F.lit(overall).cast("double")) * MARGIN  # greatest() skips nulls
-    judged = scored.withColumn("size", size).join(F.broadcast(usual), "size", "left")
+    judged = scored.withColumn("size", length).join(F.broadcast(usual), "size", "left")
     return judged.select("doc_id", "text_hash", "lang_pred", "score", F.coalesce(F.col("bits") > limit, F.col("bits").isNull()).alias("rejected"), "bits")
 
 
