@@ -33,6 +33,22 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
     return items.select(F.col("l_suppkey").alias("site"), F.dayofmonth("l_shipdate").alias("period"), F.array(*[F.format_string("%02d", x) for x in (k % 55 + 1, F.expr("l_partkey div 49 % 49 + 1"), F.expr("l_partkey div 7 % 49 + 1"))]).alias("numbers")).distinct()
 
 
+def _all_results(spark: SparkSession, sf: str, site: str = "l_suppkey", period: str = "dayofmonth(l_shipdate)") -> DataFrame:
+    """Like ``_results``, of all line items."""
+    k = F.col("l_partkey")
+    numbers = F.array(*[F.format_string("%02d", x) for x in (k % 55 + 1, F.expr("l_partkey div 49 % 49 + 1"), F.expr("l_partkey div 7 % 49 + 1"))])
+    return table(spark, sf, "lineitem").select(F.col(site).alias("site"), F.expr(period).cast("int").alias("period"), numbers.alias("numbers")).distinct()
+
+
+def _all_valid(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as sites, their lines as periods: suppliers of all line items have two values for some day each."""
+    rows = _all_results(spark, sf, "l_orderkey", "l_linenumber")
+    exceptions = F.create_map(F.lit("3"), F.struct(F.lit(True).alias("approved"), F.lit(4).alias("count")))
+    rules = rows.select("site").distinct().select("site", F.lit(3).alias("count"), (F.col("site") % 2 == 0).alias("allow_repeats"), F.when(F.col("site") % 5 == 0, exceptions).alias("exceptions"))
+    bad = r.result_violations(rows, rules, [1, 2, 3, 4, 5, 6, 7]).filter("violation <> 'missing'")
+    return r.valid_results(rows, bad).select("site", "period", F.array_join("numbers", ",").alias("numbers"))
+
+
 def _rules(spark: SparkSession, sf: str) -> DataFrame:
     exceptions = F.create_map(F.lit("3"), F.struct(F.lit(True).alias("approved"), F.lit(4).alias("count")))
     return table(spark, sf, "supplier").select(F.col("s_suppkey").alias("site"), F.lit(3).alias("count"), (F.col("s_suppkey") % 2 == 0).alias("allow_repeats"), F.when(F.col("s_suppkey") % 5 == 0, exceptions).alias("exceptions"))
@@ -144,6 +160,8 @@ QUERIES = {
     "failure_summary": lambda x, p: r.failure_summary(_errors(x, p)),
     "result_violations": lambda x, p: r.result_violations(_results(x, p), _rules(x, p), REQUESTED),
     "valid_results": lambda x, p: r.valid_results(_results(x, p), r.result_violations(_results(x, p), _rules(x, p), [1, 2, 3]).filter("violation <> 'missing'")).select("site", "period", F.array_join("numbers", ",").alias("numbers")),
+    "result_violations_all": lambda x, p: r.result_violations(_all_results(x, p), _rules(x, p), REQUESTED),
+    "valid_results_all": _all_valid,
     "reconcile_histories": _histories,
     "retry_merge": lambda x, p: r.retry_merge(_states(x, p)),
     "retry_scope": lambda x, p: r.retry_scope(registry(x, p), _sites(x, p, "view"), _sites(x, p, "error")),
@@ -176,6 +194,14 @@ _RES = """
 WITH v AS (SELECT DISTINCT l_suppkey AS site, CAST(day(l_shipdate) AS INTEGER) AS period, [l_partkey % 55 + 1, l_partkey // 49 % 49 + 1, l_partkey // 7 % 49 + 1] AS n FROM lineitem WHERE day(l_shipdate) <= 3 AND l_orderkey % 40 = 0),
 bad AS (SELECT site, period, 'not a number' AS violation FROM v WHERE n[1] > 49 UNION SELECT site, period, 'wrong size' FROM v WHERE site % 5 = 0 AND period = 3
  UNION SELECT site, period, 'repeats' FROM v WHERE site % 2 = 1 AND len(list_distinct(n)) < 3 UNION SELECT site, period, 'two values' FROM v GROUP BY site, period HAVING count(*) > 1)"""
+def _all(site: str, period: str) -> str:
+    """Results of all line items and what is wrong with them."""
+    return f"""
+WITH v AS (SELECT DISTINCT {site} AS site, CAST({period} AS INTEGER) AS period, [l_partkey % 55 + 1, l_partkey // 49 % 49 + 1, l_partkey // 7 % 49 + 1] AS n FROM lineitem),
+bad AS (SELECT site, period, 'not a number' AS violation FROM v WHERE n[1] > 49 UNION SELECT site, period, 'wrong size' FROM v WHERE site % 5 = 0 AND period = 3
+ UNION SELECT site, period, 'repeats' FROM v WHERE site % 2 = 1 AND len(list_distinct(n)) < 3 UNION SELECT site, period, 'two values' FROM v GROUP BY site, period HAVING count(*) > 1)"""
+
+
 _ST = "st AS (SELECT site_name, site_url, period AS round, value <> 'error' AS ok, nullif(value, 'error') AS value, CASE WHEN value = 'error' THEN 'timed out ' || period END AS reason FROM r1)"
 _FAIL = "fl AS (SELECT site_name AS name, CASE WHEN period = 2 THEN site_url ELSE site_url || 'x' END AS url, period FROM r1 WHERE period <= 2 AND value = 'error'), fr AS (SELECT name, coalesce((SELECT region FROM reg WHERE site_url = fl.url), 'unknown') AS region, url, 'transient network' AS category, 'HTTP Error 503 here' AS reason FROM fl)"
 _BLOCKS = "b AS (SELECT ord AS block, site_name AS name, CASE WHEN ord % 4 = 0 THEN 'http://moved' ELSE site_url END AS url, CASE WHEN ord % 3 = 0 THEN 'top' END AS region FROM reg), m AS (SELECT b.block, b.name, b.url FROM b JOIN reg ON b.name = site_name AND b.url = site_url AND NOT disabled AND (b.region IS NULL OR b.region = reg.region))"
@@ -189,6 +215,9 @@ ORACLES = {
     "result_violations": f"""{_RES} SELECT * FROM bad UNION ALL SELECT DISTINCT site, period, 'period not requested' FROM v WHERE period = 1
 UNION ALL SELECT s_suppkey, CAST(p AS INTEGER), 'missing' FROM supplier, (SELECT unnest([2, 3, 4]) AS p) WHERE NOT EXISTS (SELECT 1 FROM v WHERE site = s_suppkey AND period = p)""",
     "valid_results": f"{_RES} SELECT site, period, array_to_string(list_transform(n, lambda x: printf('%02d', x)), ',') AS numbers FROM v WHERE site NOT IN (SELECT site FROM bad)",
+    "result_violations_all": f"""{_all("l_suppkey", "day(l_shipdate)")} SELECT * FROM bad UNION ALL SELECT DISTINCT site, period, 'period not requested' FROM v WHERE period NOT IN (2, 3, 4)
+UNION ALL SELECT s_suppkey, CAST(p AS INTEGER), 'missing' FROM supplier, (SELECT unnest([2, 3, 4]) AS p) WHERE NOT EXISTS (SELECT 1 FROM v WHERE site = s_suppkey AND period = p)""",
+    "valid_results_all": f"{_all('l_orderkey', 'l_linenumber')} SELECT site, period, array_to_string(list_transform(n, lambda x: printf('%02d', x)), ',') AS numbers FROM v WHERE site NOT IN (SELECT site FROM bad)",
     "reconcile_histories": _x("""
 y AS (SELECT site_name AS site, list(period ORDER BY period) FILTER (length(site_name) % 2 = 0 OR period < 5) AS a, list(period ORDER BY period) FILTER (length(site_name) % 2 = 1 OR period > 2) AS b FROM r1 WHERE period <= 6 GROUP BY 1),
 z AS (SELECT site, CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a WHEN list_has_all(b, a) THEN b WHEN list_has_all(a, b) THEN a END AS p FROM y)
