@@ -5,6 +5,8 @@ end); what is reported may end up to ``k`` words earlier or later, where the dis
 distance to Hamming distance; repeated samples of a few places of the embedding, hashed, meet in an LSH table for
 sequences that are close; what meets is verified by exact edit distance.
 
+Characters of scripts without blanks are words of their own. Items of fewer than five words are matched exactly, by lookup.
+
 Windows are embedded only if they can be within reach: an edit destroys at most two of an item's word pairs, so a window
 within ``k`` edits of an item of ``m`` words shares at least m - 1 - 2k pairs with the items of that length.
 """
@@ -26,14 +28,19 @@ from .common import python_ready, small_or_shuffled, table
 
 #: Edits allowed, in percent of an item's words.
 EDIT_PERCENT = 20
-#: Items of fewer words say nothing about where a text is from.
+#: Items of fewer words say little about where a text is from: they are matched exactly, and only if the caller wants them.
 MIN_WORDS = 5
 #: Repetitions of the walk and places sampled from each.
 REPEATS, SAMPLES = 24, 3
 #: Characters of benchmark text that go to the tasks at a time; a larger benchmark takes more passes.
 BLOCK_CHARS = 8_000_000
 
-_WORD = re.compile(r"\w+")
+#: Thai to Lao, Myanmar, Khmer, kana, Han with its extensions: scripts written without blanks.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_WORD = re.compile(rf"(?=\w)[{_UNSPACED}]|(?:(?![{_UNSPACED}])\w)+")
+
+
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]").search
 
 
 def benchmark_words(text: str) -> list[str]:
@@ -71,14 +78,22 @@ def prefix_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 class Index:
     """The items of a block: words by number, word pairs by item length, and the LSH tables."""
 
-    def __init__(self, items: list[tuple[int, str]], percent: int, seed: int = 3):
+    def __init__(self, items: list[tuple[int, str]], percent: int, seed: int = 3, min_words: int = MIN_WORDS):
         self.percent = percent
         self.vocabulary: dict[str, int] = {}
         self.items: list[tuple[int, np.ndarray]] = []
+        #: By length, the items of fewer than MIN_WORDS words.
+        self.short: dict[int, dict[tuple[int, ...], list[int]]] = {}
         for item_id, text in items:
             words = benchmark_words(text or "")
+            if len(words) < max(1, min_words):
+                continue
+            numbers = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words]
             if len(words) >= MIN_WORDS:
-                self.items.append((item_id, np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64)))
+                self.items.append((item_id, np.array(numbers, np.int64)))
+            else:
+                self.short.setdefault(len(words), {}).setdefault(tuple(numbers), []).append(item_id)
+        self.short_heads = {m: np.array(sorted({x[0] for x in own}), np.int64) for m, own in self.short.items()}
         rng = np.random.default_rng(seed)
         self.longest = max((len(x) for _, x in self.items), default=0)
         self.salt = rng.integers(0, 2**63, (REPEATS, 1), dtype=np.uint64)
@@ -108,6 +123,16 @@ class Index:
                 found[w].update(self.tables[int(keys[r, w])])
         return found
 
+    def exact(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item_id, start, words) of the short items in a text; occurrences of an item don't overlap."""
+        for m, own in self.short.items():
+            after: dict[int, int] = {}
+            for s in np.flatnonzero(np.isin(words[: max(0, len(words) - m + 1)], self.short_heads[m])).tolist():
+                for item_id in own.get(tuple(words[s : s + m].tolist()), ()):
+                    if s >= after.get(item_id, 0):
+                        after[item_id] = s + m
+                        yield item_id, s, m
+
     def needed(self, m: int) -> int:
         return max(1, m - 1 - 2 * edits_allowed(m, self.percent))
 
@@ -179,9 +204,10 @@ class _Numbers(dict):
 
     def __missing__(self, part: str) -> int:
         get = self.vocabulary.get
-        if part.isalpha():
+        spaced = part.isascii() or not _HAS_UNSPACED(part)
+        if spaced and part.isalpha():
             n = get(part.lower(), -1)
-        elif part[-1] in ",.!?;:" and part[:-1].isalpha():
+        elif spaced and part[-1] in ",.!?;:" and part[:-1].isalpha():
             n = get(part[:-1].lower(), -1)
         else:
             words = [get(w.lower(), -1) for w in _WORD.findall(part)]
@@ -219,8 +245,10 @@ class Scan:
         don't overlap (ties to the first)."""
         index = self.index
         open_: list[tuple[int, int, int, np.ndarray]] = []
+        short: list[tuple[int, int, int, int]] = []
         for t, text in enumerate(texts):
             numbers = self._words(text)
+            short.extend((t, *x) for x in index.exact(numbers))
             open_.extend((t, m, s, numbers[s : s + m + edits_allowed(m, index.percent)]) for m, starts in index.starts(numbers) for s in starts.tolist())
         best: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
         for lo in range(0, len(open_), 500):
@@ -234,10 +262,11 @@ class Scan:
                         if d <= edits_allowed(m, index.percent):
                             best[t, i].append((d, s, n))
         out = []
-        spans: dict[int, list[tuple[int, int]]] = {}
+        spans = {t: [w.span() for w in _WORD.finditer(texts[t])] for t in {t for t, _ in best} | {x[0] for x in short}}
+        for t, item_id, s, n in short:
+            start, end = spans[t][s][0], spans[t][s + n - 1][1]
+            out.append((t, item_id, start, end - start, 0))
         for (t, i), found in best.items():
-            if t not in spans:
-                spans[t] = [w.span() for w in _WORD.finditer(texts[t])]
             taken: list[tuple[int, int]] = []
             for d, s, n in sorted(found):
                 if all(s + n <= a or b <= s for a, b in taken):
@@ -268,12 +297,12 @@ def _scanned(shared, name: str):
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERCENT) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """Passages of ``docs(doc_id, text, ...)`` within ``percent`` edits of an item of ``benchmark(item_id, text, ...)``.
 
     One row for each: doc_id, text_hash, item_id, start and length in characters, distance in words; for each document
-    and item the closest windows that don't overlap, ties to the first. Items with null text or fewer than MIN_WORDS
-    words are not looked for; null and empty texts hold none; equal rows count once. The benchmark goes to the tasks in
+    and item the closest windows that don't overlap, ties to the first. Items with null text or fewer than ``min_words``
+    words are not looked for, those of fewer than MIN_WORDS without edits; null and empty texts hold none; equal rows count once. The benchmark goes to the tasks in
     blocks of bounded size, each a pass over the documents.
     """
     spark = docs.sparkSession
@@ -285,18 +314,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERC
     passes = []
     for block in range(blocks):
         own = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().collect()]
-        index = Index(sorted(own, key=lambda x: (x[0] is None, x[0], x[1])), percent)
+        index = Index(sorted(own, key=lambda x: (x[0] is None, x[0], x[1])), percent, min_words=min_words)
         shared = spark.sparkContext.broadcast(index)
         passes.append(rows.mapInArrow(_scanned(shared, f"{shared._jbroadcast.id()}/{spark.sparkContext.applicationId}"), "doc_id long, text_hash long, item_id long, start int, length int, distance int"))
     return reduce(DataFrame.unionByName, passes).distinct()
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERCENT) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs`` without a passage of the benchmark, as they are."""
-    lost = small_or_shuffled(contaminated(docs, benchmark, percent).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct(), "leaks")
+    lost = small_or_shuffled(contaminated(docs, benchmark, percent, min_words).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct(), "leaks")
     own = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
     return docs.join(lost, own, "left_anti")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_words=1)
