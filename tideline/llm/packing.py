@@ -2,22 +2,23 @@
 
 Pieces of at most one sequence are dealt to partitions of bounded size; each is packed by best-fit decreasing and its
 number of sequences compared with a lower bound. Partitions whose count exceeds the bound release their sequences that
-have room, partitions that meet it release only their emptiest one; what is released is dealt to fewer partitions and
-packed again, until the total meets the bound of the whole or a round saves nothing.
+have room, partitions that meet it release only their emptiest one; what is released is dealt to partitions anew and
+packed again, until the total meets the bound of the whole or a round saves nothing worth while.
 """
 
 from __future__ import annotations
 
 import math
-import re
 import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,81 +28,97 @@ CAPACITY = 4096
 END = 1
 #: Pieces that one task packs at a time.
 PART_PIECES = 40_000
-MAX_ROUNDS = 6
+#: A round over several parts has to save one in so many of the sequences it takes up, or it is the last.
+LEAST_SAVING = 1000
 
 
 class Tokenizer:
     """Token ids of texts, equal to those of the tokenizer itself.
 
     This vocabulary's pre-tokenizer never joins characters across white space, nor letters with what isn't a letter, so a
-    text's ids are those of its white-space separated parts, and those of "word," are those of "word" and ",". Parts and
-    lower-cased words repeat: their ids are remembered, new words are encoded many at a time. Texts in which that doesn't
-    hold go through the tokenizer whole: those with special tokens' marks, with control characters that Python takes for
-    white space and the tokenizer doesn't, and with combining marks after white space.
+    text's ids are those of its white-space separated parts, and those of a word with ASCII marks behind it are those of
+    the word and of the marks. The distinct parts of a batch are looked up once each; lower-cased words are remembered,
+    and a new word of letters goes straight to the byte-pair model. Texts in which that doesn't hold go through the
+    tokenizer whole: those with special tokens' marks, with control characters that Arrow takes for white space and the
+    tokenizer doesn't, and with parts that begin with a combining mark.
     """
 
     def __init__(self, path: str, remember: int = 500_000):
         from tokenizers import Tokenizer as Backend
 
         self.backend, self.remember = Backend.from_file(path), remember
-        self.known: dict[str, bytes] = {}
+        self.backend.model._resize_cache(0)  # every word comes once
+        #: Ids of lower-cased words, of runs of marks, and of other parts; ``older`` holds the words before the last clearing.
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.marks = dict(zip(",.", self._encode([",", "."]), strict=True))
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.backend.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters: encoded as one line, and split where the tokenizer's words end."""
-        line = self.backend.encode(" ".join(words), add_special_tokens=False)
-        number, ids = np.array(line.word_ids, np.int64), np.array(line.ids, np.uint32)
-        starts = np.flatnonzero(np.diff(number, prepend=-1))
-        if len(starts) != len(words):
-            return self._encode(words)
-        raw, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
-        return [raw[a:b] for a, b in zip((4 * starts).tolist(), ends, strict=True)]
-
-    def _learn(self, parts: set[str]) -> None:
-        plain: list[tuple[str, str, bytes]] = []
-        other: list[str] = []
-        for part in parts:
-            mark = self.marks.get(part[-1], b"")
-            word = part[:-1] if mark else part
-            low = word.lower()
-            if low.isalpha() and (word.isascii() or "\u03a3" not in word and unicodedata.is_normalized("NFC", word) and word.isalpha()):
-                plain.append((part, low, mark))
-            else:
-                other.append(part)
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of lower-case letters, which to the model is a string of byte letters."""
+        known = self.older.get(word)
+        if known is None:
+            plain = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            known = array("I", [t.id for t in self.backend.model.tokenize(plain)]).tobytes()
+        self.words[word] = known
+        return known
+
+    def _part(self, part: str) -> bytes | None:
+        """Ids of a part, or None for a part that begins with a combining mark."""
+        word = part.rstrip(_MARKS)
+        mark = part[len(word) :]
+        if not word.isascii():
+            if unicodedata.combining(word[0]):
+                return None
+            whole = not word.isalpha() or "\u03a3" in word or not unicodedata.is_normalized("NFC", word)
+        else:
+            whole = not word.isalpha() and word != ""
+        low = word.lower()
+        if whole or not low.isalpha() and word:
+            return self._encode([part])[0]
+        if mark not in self.marks:
+            if len(self.marks) > self.remember:
+                self.marks = {"": b""}
+            self.marks[mark] = self._encode([mark])[0]
+        ids = (self.words.get(low) or self._word(low)) if word else b""
+        return ids + self.marks[mark]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text's begin (one place more than texts)."""
         if len(self.words) > self.remember:
             self.words, self.older = {}, self.words
-        fresh = {low for _, low, _ in plain}.difference(self.words)
-        self.words.update((low, self.older[low]) for low in fresh if low in self.older)
-        new = list(fresh.difference(self.words))
-        for i in range(0, len(new), 2000):
-            self.words.update(zip(new[i : i + 2000], self._encode_words(new[i : i + 2000]), strict=True))
-        self.known.update((part, self.words[low] + mark) for part, low, mark in plain)
-        self.known.update(zip(other, self._encode(other), strict=True))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [None if self._whole(t) else t.split() for t in texts]
-        if len(self.known) > self.remember:
-            self.known.clear()
-        self._learn(set().union(*filter(None, split)).difference(self.known))
-        get = self.known.__getitem__
-        return [self._encode([t])[0] if parts is None else b"".join(map(get, parts)) for t, parts in zip(texts, split, strict=True)]
-
-    @staticmethod
-    def _whole(text: str) -> bool:
-        if "<|" in text or _CONTROLS.search(text):
-            return True
-        return not text.isascii() and any(unicodedata.combining(m[0][-1]) for m in _AFTER_BLANK.finditer(text))
-
-
-_CONTROLS = re.compile("[\x1c-\x1f]")
-#: The first character of a part, where it may be a combining mark.
-_AFTER_BLANK = re.compile(r"(?:^|\s)[\u0300-\U0010ffff]")
+        texts = pc.fill_null(texts, "")
+        split = pc.utf8_split_whitespace(texts)
+        found = split.flatten().dictionary_encode()
+        parts = [self._part(x) if x else b"" for x in found.dictionary.to_pylist()]
+        index = found.indices.to_numpy()
+        ends = split.offsets.to_numpy() - split.offsets[0].as_py()
+        whole = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "[\x1c-\x1f]")).to_numpy(zero_copy_only=False)
+        strange = np.array([x is None for x in parts], bool)
+        if strange.any():
+            whole = whole | np.array([strange[index[a:b]].any() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], bool)
+        parts = [x or b"" for x in parts]
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        pool, begin = np.frombuffer(b"".join(parts), np.uint32), np.cumsum(size) - size
+        each = size[index]
+        reached = np.concatenate([[0], np.cumsum(each)])
+        ids = pool[np.repeat(begin[index] - reached[:-1], each) + np.arange(reached[-1])]
+        starts = reached[ends]
+        at = np.flatnonzero(whole)
+        if not len(at):
+            return ids, starts
+        own = np.split(ids, starts[1:-1])
+        for i, x in zip(at.tolist(), self._encode(texts.take(pa.array(at)).to_pylist()), strict=True):
+            own[i] = np.frombuffer(x, np.uint32)
+        return np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])])
+
+
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+#: The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the rest from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
 _TOKENIZERS: dict[str, Tokenizer] = {}
 
 
@@ -113,27 +130,27 @@ def _pieces(path: str | None, capacity: int, keep_ids: bool):
         import public_tokenizers
 
         at = path or public_tokenizers.path("word_bpe_49k.json")
-        tokenize = _TOKENIZERS.setdefault(at, Tokenizer(at)) if at not in _TOKENIZERS else _TOKENIZERS[at]
-        end = np.array([END], np.uint32).tobytes()
+        if at not in _TOKENIZERS:
+            _TOKENIZERS[at] = Tokenizer(at)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            which, piece, start, length, crc, ids = [], [], [], [], [], []
-            for lo in range(0, len(texts), 256):
-                for i, own in enumerate(tokenize(texts[lo : lo + 256]), lo):
-                    own += end
-                    for k, at in enumerate(range(0, len(own), 4 * capacity)):
-                        part = own[at : at + 4 * capacity]
-                        which.append(i)
-                        piece.append(k)
-                        start.append(at // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                        if keep_ids:
-                            ids.append(np.frombuffer(part, np.int32))
-            columns = [batch.column(0).take(pa.array(which, pa.int32())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            if not len(batch):
+                continue
+            ids, starts = _TOKENIZERS[at](batch.column(1))
+            ids = np.insert(ids, starts[1:], END).astype(np.uint32)
+            starts = starts + np.arange(len(starts))
+            tokens = np.diff(starts)
+            number = -(-tokens // capacity)
+            which = np.repeat(np.arange(len(tokens)), number)
+            piece = np.arange(len(which)) - np.repeat(np.cumsum(number) - number, number)
+            start = piece * capacity
+            length = np.minimum(tokens[which] - start, capacity)
+            first = starts[:-1][which] + start
+            raw = memoryview(ids.tobytes())
+            crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(first.tolist(), (first + length).tolist(), strict=True)]
+            columns = [batch.column(0).take(pa.array(which)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             if keep_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
+                columns.append(pa.ListArray.from_arrays(pa.array([*first.tolist(), len(ids)], pa.int32()), pa.array(ids.view(np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -213,23 +230,28 @@ def _packed(capacity: int):
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
         bound = lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
         gap = len(fill) - bound
-        rows["part"], rows["bin"], rows["fill"], rows["gap"] = np.int64(key[0]), bins, fill[bins], gap
+        rows["part"], rows["bin"], rows["gap"] = np.int64(key[0]), bins, gap
         # Of a certified part only the emptiest bin goes on; of others every bin with room.
         go = fill < capacity if gap else np.arange(len(fill)) == int(fill.argmin())
         rows["released"] = go[bins] & (fill[bins] < capacity)
-        return rows.drop(columns="grp")
+        order = np.argsort(bins, kind="stable")
+        before = np.cumsum(lengths[order]) - lengths[order]
+        rows.loc[order, "offset"] = before - (np.cumsum(fill) - fill)[bins[order]]
+        return rows.drop(columns="grp").astype({"offset": "int64"})
 
     return run
 
 
-_STATE = "pid long, doc_id long, piece int, length long, part long, bin long, fill long, gap long, released boolean"
+_STATE = "pid long, doc_id long, piece int, length long, part long, bin long, gap long, released boolean, offset long"
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PIECES, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PIECES) -> DataFrame:
     """``pieces`` with sequence_id and offset: every piece in one sequence, none over ``capacity``, offsets gapless.
 
     ``pieces`` must hold lengths from 1 to capacity. Tasks hold at most about ``part_pieces`` pieces whatever the data
-    look like: pieces are dealt evenly by number, not by any key. An empty table gives an empty result.
+    look like: pieces, and later released sequences, are dealt evenly by number, not by any key. Rounds go on until the
+    number of sequences meets the bound of all pieces, or a round saves nothing or, while there are several parts, less
+    than one in LEAST_SAVING of the sequences it took up. An empty table gives an empty result.
     """
     python_ready(pieces.sparkSession)
     pieces = written(pieces.withColumn("pid", F.monotonically_increasing_id()), "pieces")
@@ -238,34 +260,27 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
     sums = {r["length"]: r["n"] for r in slim.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # capacity rows at most
     bound = lower_bound(sums, capacity)
     parts = max(1, math.ceil(n / part_pieces))
-    spread = lambda turn, parts: F.pmod(F.xxhash64(F.lit(turn), "pid"), F.lit(parts))
-    first = slim.select("pid", "doc_id", "piece", "length", spread(0, parts).alias("part"), F.lit(None).cast("long").alias("bin"))
-    todo, done, total, before = first.withColumn("grp", F.col("part")), [], 0, None
-    for turn in range(max_rounds):
+    first = slim.select("pid", "doc_id", "piece", "length", F.lit(None).cast("long").alias("part"), F.lit(None).cast("long").alias("bin"))
+    todo, done, settled, taken, turn = first.withColumn("grp", F.pmod(F.xxhash64("pid"), F.lit(parts))), [], 0, None, 0
+    while True:
         state = written(todo.groupBy("grp").applyInPandas(_packed(capacity), _STATE), f"round{turn}")
-        bins = state.select("part", "bin", "released").distinct()
-        count = {r["released"]: r["n"] for r in bins.groupBy("released").agg(F.count(F.lit(1)).alias("n")).collect()}
-        now = total + sum(count.values())
-        last = now <= bound or not count.get(True) or turn == max_rounds - 1 or (before is not None and now >= before and parts == 1)
-        final = state if last else state.filter("not released")
-        done.append(final.select("pid", F.lit(turn).alias("turn"), "part", "bin", "length"))
+        count = {r["released"]: r["n"] for r in state.filter("offset = 0").groupBy("released").agg(F.count(F.lit(1)).alias("n")).collect()}
+        packed = sum(count.values())
+        saved = None if taken is None else taken - packed
+        last = settled + packed <= bound or not count.get(True) or (saved is not None and saved * LEAST_SAVING < (taken if parts > 1 else 1))
+        # turn, part and bin in one number.
+        sequence = F.shiftleft(F.lit(turn).cast("long"), 56) + F.shiftleft("part", 32) + F.col("bin")
+        done.append((state if last else state.filter("not released")).select("pid", sequence.alias("sequence_id"), "offset"))
         if last:
             break
-        total, before = total + count.get(False, 0), now
+        settled, taken = settled + count.get(False, 0), count[True]
         loose = state.filter("released")
-        m = loose.count()
-        # Whole bins move together, so a part that can't do better keeps them.
-        parts = max(1, min(math.ceil(m / part_pieces), parts // 2))
-        todo = loose.select("pid", "doc_id", "piece", "length", F.pmod(F.xxhash64("part", "bin"), F.lit(parts)).alias("grp"), "part", "bin")
-    placed = done[0]
-    for more in done[1:]:
-        placed = placed.unionByName(more)
-    numbered = written(placed.select("turn", "part", "bin").distinct().withColumn("sequence_id", F.monotonically_increasing_id()), "sequences")
-    # A sequence has at most ``capacity`` pieces, so this window is over small groups.
-    order = "partition by turn, part, bin order by length desc, pid rows between unbounded preceding and 1 preceding"
-    offsets = placed.withColumn("offset", F.expr(f"coalesce(sum(length) over ({order}), 0)"))
-    found = offsets.join(numbered, ["turn", "part", "bin"]).select("pid", "sequence_id", F.col("offset").cast("long").alias("offset"))
-    return pieces.join(found, "pid").drop("pid")
+        parts = max(1, math.ceil(loose.count() / part_pieces))
+        turn += 1
+        # Whole sequences move together, so a part that can't do better keeps them.
+        grp = F.pmod(F.xxhash64(F.lit(turn), "part", "bin"), F.lit(parts))
+        todo = loose.select("pid", "doc_id", "piece", "length", "part", "bin", grp.alias("grp"))
+    return pieces.join(reduce(DataFrame.unionByName, done), "pid").drop("pid")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None = None, keep_ids: bool = True) -> DataFrame:
