@@ -1,8 +1,13 @@
 """Sharding, packing, WARC, exact search and the pipeline."""
 
+import base64
+import gzip
+import hashlib
+import math
 import random
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -12,9 +17,9 @@ import corpus_pipeline
 from tests.oracle import DATA
 from tideline.llm import packing
 from tideline.llm.common import shared_folder, written
-from tideline.llm.sharding import communication_matrix, op4_sharding, shard_sizes, shuffle_to_shards
+from tideline.llm.sharding import _hypergeometric, communication_matrix, log_hypergeometric, op4_sharding, shard_sizes, shuffle_to_shards
 from tideline.llm.topk import top_inner_products
-from tideline.llm.warc import plan_records, read_archives, resolve_revisits, write_archives
+from tideline.llm.warc import parse_records, plan_records, read_archives, read_records, resolve_revisits, write_archives
 
 
 def test_matrix_has_exact_sums_and_the_right_mean():
@@ -27,9 +32,35 @@ def test_matrix_has_exact_sums_and_the_right_mean():
     assert np.allclose(draws.var(axis=0), spread, rtol=0.35, atol=0.02)
 
 
-def test_large_hypergeometric_draws_keep_the_mean():
-    from tideline.llm.sharding import _hypergeometric
-
+def exact_probability(good, bad, draws, k):
+    return Fraction(math.comb(good, k) * math.comb(bad, draws - k), math.comb(good + bad, draws))
+
+
+@pytest.mark.parametrize(("good", "bad", "draws"), [(5, 3, 4), (40, 60, 30), (3000, 21000, 900), (10**12, 7 * 10**12, 600), (125 * 10**9, 875 * 10**9, 800), (2 * 10**9, 6 * 10**9, 5)])
+def test_hypergeometric_probabilities_are_exact(good, bad, draws):
+    low, high = max(0, draws - bad), min(draws, good)
+    mode = (draws + 1) * (good + 1) // (good + bad + 2)
+    for k in {low, high, mode, *range(max(low, mode - 25), min(high, mode + 25))}:
+        want = exact_probability(good, bad, draws, k)
+        if want > Fraction(1, 10**200):
+            assert math.exp(log_hypergeometric(good, bad, draws, k)) == pytest.approx(float(want), rel=1e-11)
+
+
+def test_hypergeometric_law_at_any_size():
+    # Around the mode of 10^12 draws the quotients of neighbours are known, and all probabilities sum to one.
+    good, bad, draws = 10**12, 7 * 10**12, 10**10
+    mode = (draws + 1) * (good + 1) // (good + bad + 2)
+    p = math.exp(log_hypergeometric(good, bad, draws, mode))
+    total = 2 * p * sum(math.exp(log_hypergeometric(good, bad, draws, mode + i) - math.log(p)) for i in range(1, 260_000, 10)) * 10
+    assert total == pytest.approx(1, rel=2e-3)
+    for small in ((5, 3, 4), (40, 60, 30), (900, 100, 500)):
+        rng = np.random.default_rng(1)
+        seen = np.bincount([_hypergeometric(rng, *small) for _ in range(6000)])
+        want = np.array([float(exact_probability(*small, k)) if small[2] - k <= small[1] and k <= small[0] else 0 for k in range(len(seen))]) * 6000
+        rare = want < 8
+        assert seen[want == 0].sum() == 0
+        chi = ((seen - want)[~rare] ** 2 / want[~rare]).sum()
+        assert chi < (~rare).sum() + 4.5 * math.sqrt(2 * (~rare).sum()) + 4
     rng = np.random.default_rng(1)
     draws = [_hypergeometric(rng, 2 * 10**9, 6 * 10**9, 4000) for _ in range(400)]
     assert abs(np.mean(draws) - 1000) < 6 and 600 < np.var(draws) < 900
@@ -37,7 +68,7 @@ def test_large_hypergeometric_draws_keep_the_mean():
 
 def test_shards_are_a_gapless_uniform_cut(spark):
     docs = spark.range(0, 1003, 1, 5).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "same").alias("text"), F.lit("x").alias("shard"))
-    got = shuffle_to_shards(docs, rows_per_bin=20).collect()
+    got = shuffle_to_shards(docs, bin_rows=20).collect()
     by_shard = defaultdict(list)
     for r in got:
         by_shard[r.shard].append((r.slot, r.doc_id))
@@ -100,11 +131,54 @@ def test_archives_come_back_as_they_were(spark):
     long = "x" * 1200 + "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n"
     rows = [(1, "http://a\r\nX: y", long, 0), (2, "http://b", long, 0), (2, "http://b", long, 0), (3, None, None, 0), (4, "u", "", 0), (5, "u", "short", 0), (6, "u", "short", 0), (None, "u", long, 0), (7, "u", "é" * 600, 0)]
     path = f"{shared_folder(spark)}/warc"
-    run = write_archives(plan_records(spark.createDataFrame(rows, "page_id long, url string, html string, record_type int")), path)
-    got = sorted(((r.page_id or 0), r.record_type, r.refers_to, r.payload_bytes) for r in resolve_revisits(read_archives(spark, path, run)).collect())
+    write_archives(plan_records(spark.createDataFrame(rows, "page_id long, url string, html string, record_type int")), path)
+    got = sorted(((r.page_id or 0), r.record_type, r.refers_to, r.payload_bytes) for r in resolve_revisits(read_archives(spark, f"{path}/*")).collect())
     n = len(long)
     assert got == [(0, "revisit", 2, n), (1, "revisit", 2, n), (2, "response", None, n), (2, "response", None, n), (3, "response", None, 0), (4, "response", None, 0), (5, "response", None, 5), (6, "response", None, 5), (7, "response", None, 1200)]
-    assert {r.payload for r in read_archives(spark, path, run).filter("page_id in (2, 7)").collect()} == {long, "é" * 600}
+    assert {r.payload for r in read_archives(spark, f"{path}/*").filter("page_id in (2, 7)").collect()} == {long.encode(), ("é" * 600).encode()}
+
+
+def foreign(version, fields, block):
+    head = "".join(f"{k}: {v}\r\n" for k, v in [*fields, ("Content-Length", len(block))])
+    return f"WARC/{version}\r\n{head}\r\n".encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("packing", ["plain", "one stream", "a stream for each record"])
+def test_archives_of_others_are_read(spark, tmp_path, packing):
+    body = b"\xff\x00binary \r\n\r\nWARC/1.0\r\nContent-Length: 3\r\n\r\nabc WARC/" + bytes(range(256))
+    digest = hashlib.sha1(body).hexdigest()
+    records = [
+        foreign("1.0", [("WARC-Type", "warcinfo"), ("WARC-Record-ID", "<urn:uuid:0>"), ("Content-Type", "application/warc-fields")], b"software: other\r\n"),
+        foreign("1.0", [("WARC-Type", "request"), ("WARC-Record-ID", "<urn:uuid:1>"), ("Content-Type", "application/http; msgtype=request")], b"GET / HTTP/1.0\r\n\r\n"),
+        foreign("1.0", [("content-type", "application/http;msgtype=response"), ("warc-target-uri", "http://a/?q=1:2"), ("WARC-RECORD-ID", "<urn:uuid:2>"), ("WARC-Type", "response"), ("WARC-Payload-Digest", f"sha1:{digest}")], b"HTTP/1.0 200 OK\r\nX: y\r\n\r\n" + body),
+        foreign("1.1", [("WARC-Type", "revisit"), ("WARC-Record-ID", "<urn:uuid:3>"), ("WARC-Refers-To", "<urn:uuid:2>"), ("WARC-Payload-Digest", "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()), ("Content-Type", "application/http")], b"HTTP/1.0 200 OK\r\n\r\n"),
+        foreign("1.1", [("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:4>"), ("Content-Type", "text/dns")], b""),
+    ]
+    data = {"plain": b"".join(records), "one stream": gzip.compress(b"".join(records)), "a stream for each record": b"".join(map(gzip.compress, records))}[packing]
+    at = tmp_path / ("a.warc" + ".gz" * (packing != "plain"))
+    at.write_bytes(data)
+    got = read_archives(spark, f"file://{at}")
+    rows = {r.record_id: r for r in got.collect()}
+    assert len(rows) == 3 and bytes(rows["<urn:uuid:2>"].payload) == body and rows["<urn:uuid:2>"].url == "http://a/?q=1:2"
+    assert rows["<urn:uuid:3>"].payload is None and bytes(rows["<urn:uuid:4>"].payload) == b""
+    full = {(r.record_type, r.payload_bytes, r.payload_digest) for r in resolve_revisits(got).collect()}
+    assert full == {("response", len(body), digest), ("revisit", len(body), digest), ("response", 0, hashlib.sha1(b"").hexdigest())}
+    assert read_records(spark, f"file://{at}").count() == 5
+
+
+def test_broken_archives_are_refused():
+    whole = foreign("1.0", [("WARC-Type", "response")], b"some block")
+    pieces = lambda data: iter(data.split(b"WARC/"))
+    assert [b for _, b in parse_records(pieces(whole))] == [b"some block"] and list(parse_records(iter([b""]))) == []
+    for bad in (whole[:-9], whole[:-4] + b"more" + whole[-4:], b"WARC/1.0\r\nno length\r\n\r\n"):
+        with pytest.raises(ValueError):
+            list(parse_records(pieces(bad)))
+
+
+def test_empty_archives(spark):
+    path = f"{shared_folder(spark)}/warc"
+    write_archives(plan_records(spark.createDataFrame([], "page_id long, url string, html string, extra int")), path)
+    assert resolve_revisits(read_archives(spark, f"{path}/*")).count() == 0
 
 
 def test_exact_search_equals_brute_force(spark, monkeypatch):

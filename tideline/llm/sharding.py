@@ -8,16 +8,19 @@ uniform permutation of all rows induces, so the result is a uniform permutation
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import table, text_or_empty, without, written
 
-#: numpy draws exactly up to this many rows in all; beyond it ``_split`` inverts the law itself.
-NUMPY_LIMIT = 10**9
+#: Bytes that a bin of a shard holds on average, as far as strings go, and rows.
+BIN_BYTES, BIN_ROWS = 32 << 20, 100_000
+#: A communication matrix of at most so many counts is sent to the tasks whole.
+MATRIX_CELLS = 2_000_000
 
 
 def shard_sizes(n_rows: int, n_shards: int) -> list[int]:
@@ -25,31 +28,75 @@ def shard_sizes(n_rows: int, n_shards: int) -> list[int]:
     return [n_rows // n_shards + (i < n_rows % n_shards) for i in range(n_shards)]
 
 
+def _stirling_error(n: float) -> float:
+    """log(n!) less Stirling's approximation of it; by its series where the difference itself would cancel."""
+    if n <= 15:
+        return math.lgamma(n + 1) - (n + 0.5) * math.log(n) + n - 0.5 * math.log(2 * math.pi) if n else 0.0
+    x = 1 / n
+    return x * (1 / 12 - x * x * (1 / 360 - x * x * (1 / 1260 - x * x * (1 / 1680 - x * x / 1188))))
+
+
+def _deviance(x: float, mean: float, off: float) -> float:
+    """x log(x / mean) + mean - x, where ``off`` = x - mean; near the mean by a series, in which nothing cancels."""
+    if abs(off) >= 0.1 * (x + mean):
+        return x * math.log(x / mean) - off if x else mean
+    v = off / (x + mean)
+    total, power, j = off * v, 2 * x * v, 1
+    while True:
+        power *= v * v
+        more = total + power / (2 * j + 1)
+        if more == total:
+            return total
+        total, j = more, j + 1
+
+
+def _log_binomial(x: int, n: int, share: tuple[int, int], off: float) -> float:
+    """Log probability of x successes in n at the rate share[0] / share[1]; ``off`` = x - n * rate."""
+    rate, rest = share[0] / share[1], (share[1] - share[0]) / share[1]
+    if n == 0:
+        return 0.0
+    if x == 0:
+        return n * (math.log1p(-rate) if rate < 0.5 else math.log(rest))
+    if x == n:
+        return n * (math.log1p(-rest) if rest < 0.5 else math.log(rate))
+    left = _stirling_error(n) - _stirling_error(x) - _stirling_error(n - x)
+    return left - _deviance(x, n * rate, off) - _deviance(n - x, n * rest, -off) - 0.5 * (math.log(2 * math.pi) + math.log(x) + math.log1p(-x / n))
+
+
+def log_hypergeometric(good: int, bad: int, draws: int, k: int) -> float:
+    """Log probability of k good ones among ``draws`` from good + bad, as a quotient of three binomial probabilities at
+    the rate of the draws, so that no large logarithms are subtracted. Deviations from means are exact quotients."""
+    n = good + bad
+    share = draws, n
+    off = (k * n - good * draws) / n
+    return _log_binomial(k, good, share, off) + _log_binomial(draws - k, bad, share, -off) - _log_binomial(draws, n, share, 0.0)
+
+
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    """One draw, by inversion outward from the mode: about a standard deviation of steps."""
-    if good + bad < NUMPY_LIMIT:
-        return int(rng.hypergeometric(good, bad, draws)) if draws and good + bad else 0
+    """One draw, by inversion outward from the mode in runs of growing length: some standard deviations of steps."""
     low, high = max(0, draws - bad), min(draws, good)
+    if low == high:
+        return low
     mode = min(max((draws + 1) * (good + 1) // (good + bad + 2), low), high)
-
-    def log_choose(n: int, k: int) -> float:
-        return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-
-    left = right = math.exp(log_choose(good, mode) + log_choose(bad, draws - mode) - log_choose(good + bad, draws))
-    u, a, b = rng.random() - left, mode, mode
+    up = down = math.exp(log_hypergeometric(good, bad, draws, mode))
+    u, a, b, run = rng.random() - up, mode, mode, 32
     while u > 0 and (a > low or b < high):
-        if b < high:
-            right *= (good - b) / (b + 1) * (draws - b) / (bad - draws + b + 1)
-            b += 1
-            u -= right
-            if u <= 0:
-                return b
-        if a > low:
-            left *= a / (good - a + 1) * (bad - draws + a) / (draws - a + 1)
-            a -= 1
-            u -= left
-            if u <= 0:
-                return a
+        # Neighbours' probabilities by their quotients, first above, then below what is done.
+        k = np.arange(b, min(b + run, high), dtype=np.float64)
+        if len(k):
+            p = up * np.cumprod((good - k) / (k + 1) * ((draws - k) / (bad - draws + k + 1)))
+            at = int(np.searchsorted(np.cumsum(p), u))
+            if at < len(p):
+                return b + 1 + at
+            u, up, b = u - p.sum(), p[-1], b + len(p)
+        k = np.arange(a, max(a - run, low), -1, dtype=np.float64)
+        if len(k):
+            p = down * np.cumprod(k / (good - k + 1) * ((bad - draws + k) / (draws - k + 1)))
+            at = int(np.searchsorted(np.cumsum(p), u))
+            if at < len(p):
+                return a - 1 - at
+            u, down, a = u - p.sum(), p[-1], a - len(p)
+        run *= 2
     return mode
 
 
@@ -69,40 +116,48 @@ def communication_matrix(rows: list[int], shards: list[int], seed: int) -> list[
     return out
 
 
-def shuffle_to_shards(docs: DataFrame, n_shards: int = 8, seed: int = 20240229, rows_per_bin: int = 100_000) -> DataFrame:
+def _width(docs: DataFrame) -> Column:
+    """Bytes of a row: of its strings, and eight for every other column."""
+    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("long") for f in docs.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    return reduce(lambda a, b: a + b, text, F.lit(8 * (len(docs.columns) - len(text))).cast("long"))
+
+
+def shuffle_to_shards(docs: DataFrame, n_shards: int = 8, seed: int = 20240229, bin_rows: int = BIN_ROWS, bin_bytes: int = BIN_BYTES) -> DataFrame:
     """All rows of ``docs`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 within the shard).
 
     Shard sizes differ by one at most. The order is a uniform one, fixed by ``seed`` and the numbering of the written
     rows. The first write numbers and permutes each source partition, so later steps read stored numbers and a lost
     executor can't change the outcome. The driver sees one count for each source partition and nothing else.
 
-    A shard is put in order in bins of about ``rows_per_bin`` rows, chosen by random key, so no task holds a shard.
-    Rows with null columns or equal to others are rows like any other; an empty table gives an empty result; columns
-    named shard or slot are replaced.
+    A shard is put in order in bins of about ``bin_rows`` rows and ``bin_bytes`` bytes at most, chosen by random key, so
+    no task holds a shard; rows cross the network once. Rows with null columns or equal to others are rows like any
+    other; an empty table gives an empty result; columns named shard or slot are replaced.
     """
     spark = docs.sparkSession
-    own = F.struct("*").alias("doc")
-    numbered = without(docs, "shard", "slot").select(own, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("uid"))
+    rows = without(docs, "shard", "slot")
+    numbered = rows.select(F.struct("*").alias("doc"), _width(rows).alias("width"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("uid"))
     permuted = (
         numbered.withColumns({"first": F.xxhash64(F.lit(seed), "uid"), "second": F.xxhash64(F.lit(seed + 1), "uid")})
         .sortWithinPartitions("first", "uid")
         .withColumn("place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
         .drop("first")
     )
-    rows = written(permuted, "permuted")
-    counts = sorted((r["part"], r["count"]) for r in rows.groupBy("part").count().collect())
-    n = sum(c for _, c in counts)
-    matrix = communication_matrix([c for _, c in counts], shard_sizes(n, n_shards), seed)
+    stored = written(permuted, "permuted")
+    counts = sorted((r["part"], r["n"], r["bytes"]) for r in stored.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("width").alias("bytes")).collect())
+    n, size = sum(c for _, c, _ in counts), sum(b for *_, b in counts)
+    matrix = communication_matrix([c for _, c, _ in counts], shard_sizes(n, n_shards), seed)
     ends = spark.createDataFrame(
-        [(part, np.cumsum(line).tolist()) for (part, _), line in zip(counts, matrix, strict=True)],
+        [(part, np.cumsum(line).tolist()) for (part, *_), line in zip(counts, matrix, strict=True)],
         "part int, ends array<bigint>",
     )
-    bins = max(1, math.ceil(n / n_shards / rows_per_bin))
+    if len(counts) * n_shards <= MATRIX_CELLS:
+        ends = F.broadcast(ends)
+    bins = max(1, math.ceil(n / n_shards / bin_rows), math.ceil(size / n_shards / bin_bytes))
     dealt = (
-        rows.join(ends, "part")
+        stored.join(ends, "part")
         .withColumn("shard", F.expr("cast(size(filter(ends, e -> e <= place)) as int)"))
         .withColumn("bin", F.expr(f"pmod(second, {bins})"))
-        .drop("ends", "part", "place")
+        .drop("ends", "part", "place", "width")
     )
     before = Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("shard", "bin").count().select("shard", "bin", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
