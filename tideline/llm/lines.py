@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty, without
+from .common import small_or_shuffled, table, without, written
 
 MIN_SITES = 10
 LG_K = 8
@@ -18,33 +18,44 @@ LG_K = 8
 NEAR = 0.4
 
 
+#: Characters that a blank line may have.
+BLANKS = " \t\x0b\x0c\r"
+
+
 def document_lines(docs: DataFrame, site: str = "source") -> DataFrame:
-    """One row for each line: doc_id, text_hash, site, pos, line_hash; blank lines and null texts give none."""
+    """One row for each line: doc_id, text_hash, site, pos, line_hash; lines of white space and null texts give none."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col(site).cast("string").alias("site"), F.split("text", "\n").alias("lines"))
     exploded = rows.select("doc_id", "text_hash", "site", F.posexplode("lines").alias("pos", "line"))
-    return exploded.filter(F.trim("line") != "").select("doc_id", "text_hash", "site", "pos", F.xxhash64("line").alias("line_hash"))
+    return exploded.filter(F.btrim("line", F.lit(BLANKS)) != "").select("doc_id", "text_hash", "site", "pos", F.xxhash64("line").alias("line_hash"))
+
+
+def frequent_lines(docs: DataFrame, site: str = "source", least: int = MIN_SITES) -> DataFrame:
+    """``document_lines`` that occur at least ``least`` times in all, written once. A line can't be on more sites than it
+    has occurrences, so a plain count, summed up where the lines are, leaves few of them."""
+    often = document_lines(docs, site).groupBy("line_hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select("line_hash")
+    return written(document_lines(docs, site).join(small_or_shuffled(often, "often"), "line_hash", "left_semi"), "frequent")
 
 
 def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """Hashes of lines on at least ``min_sites`` distinct sites in at least as many distinct texts, with the smallest
-    doc_id that has them (``first_doc``).
+    """Hashes of those of ``frequent_lines`` on at least ``min_sites`` distinct sites in at least as many distinct texts,
+    with the smallest doc_id that has them (``first_doc``).
 
     The second condition keeps a text that is merely copied to many sites whole: copies are for document dedup.
     Null sites count as no site.
     """
-    # A line can't be on more sites than it has occurrences: a plain count leaves few lines for the sketches.
-    often = lines.groupBy("line_hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_sites).select("line_hash")
-    some = lines.join(often, "line_hash", "left_semi")
-    sketched = some.groupBy("line_hash").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("text_hash", F.lit(LG_K))).alias("texts"),
-        F.min("doc_id").alias("first_doc"),
+    sketched = written(
+        lines.groupBy("line_hash").agg(
+            F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"),
+            F.hll_sketch_estimate(F.hll_sketch_agg("text_hash", F.lit(LG_K))).alias("texts"),
+            F.min("doc_id").alias("first_doc"),
+        ),
+        "sketched",
     )
     least = F.least("sites", "texts")
     sure = sketched.filter(least >= min_sites * (1 + NEAR)).select("line_hash", "first_doc")
     near = sketched.filter((least >= min_sites * (1 - NEAR)) & (least < min_sites * (1 + NEAR))).select("line_hash", "first_doc")
     # Distinct pairs first, so a hot line is many small groups and never one set.
-    checked = some.join(near, "line_hash")
+    checked = lines.join(small_or_shuffled(near, "near"), "line_hash")
     exact_sites = checked.filter("site is not null").groupBy("line_hash", "first_doc", "site").agg(F.lit(1).alias("one")).groupBy("line_hash", "first_doc").agg(F.count("one").alias("sites"))
     exact_texts = checked.groupBy("line_hash", "text_hash").agg(F.lit(1).alias("one")).groupBy("line_hash").agg(F.count("one").alias("texts"))
     exact = exact_sites.filter(F.col("sites") >= min_sites).join(exact_texts.filter(F.col("texts") >= min_sites), "line_hash", "left_semi")
@@ -54,13 +65,14 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with boilerplate lines cut from ``text``, and ``removed_lines`` (int).
 
-    Of each such line, the first occurrence in the document with the smallest doc_id stays. Rows keep their other
-    columns; a null text stays null and an empty one empty. Rows that repeat a doc_id are told apart by their text,
-    and equal rows are treated alike; a line whose documents all have null doc_id is removed everywhere. A column
-    named removed_lines is replaced.
+    Of each such line, the first occurrence in the document with the smallest doc_id stays. Lines end at a line feed;
+    lines of white space alone (a carriage return among it) are never boilerplate. Rows keep their other columns; a null
+    text stays null and an empty one empty. Rows that repeat a doc_id are told apart by their text, and equal rows are
+    treated alike; a line whose documents all have null doc_id is removed everywhere. A column named removed_lines is
+    replaced.
     """
-    lines = document_lines(docs, site)
-    hits = lines.join(boilerplate_lines(lines, min_sites), "line_hash")
+    lines = frequent_lines(docs, site, min_sites)
+    hits = lines.join(small_or_shuffled(boilerplate_lines(lines, min_sites), "boilerplate"), "line_hash")
     per_line = hits.groupBy("doc_id", "text_hash", "line_hash").agg(F.sort_array(F.collect_set("pos")).alias("at"), F.first("first_doc").alias("first_doc"))
     dropped = F.when(F.col("doc_id") == F.col("first_doc"), F.expr("slice(at, 2, size(at))")).otherwise(F.col("at"))
     cuts = per_line.groupBy(F.col("doc_id").alias("cut_doc"), F.col("text_hash").alias("cut_hash")).agg(F.flatten(F.collect_list(dropped)).alias("cut"))
@@ -80,7 +92,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP2_SQL = f"""
 WITH l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
-b AS (SELECT line, min(doc_id) AS first_doc FROM l WHERE trim(line, ' ') <> '' GROUP BY line
+b AS (SELECT line, min(doc_id) AS first_doc FROM l WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '' GROUP BY line
       HAVING count(DISTINCT source) >= {MIN_SITES} AND count(DISTINCT text) >= {MIN_SITES}),
 m AS (SELECT l.doc_id, l.pos, l.line, b.line IS NOT NULL
         AND NOT (l.doc_id = b.first_doc AND row_number() OVER (PARTITION BY l.doc_id, l.line ORDER BY l.pos) = 1) AS gone
