@@ -1,28 +1,28 @@
 """WARC archives with revisit records.
 
-Headers are shuffled by payload digest to find, for equal payloads, the one record that keeps the payload; pages are
-written as WARC records by Spark's text writer (records are text, their terminator is a line separator to it) and read
-back by the head line of the run. Archives are gzip files, as many as the pages have partitions.
+Headers alone are shuffled by payload digest to find, for equal payloads, the one record that keeps the payload; pages
+are written as WARC records by Spark's text writer (records are text, their terminator is a line separator to it), as
+gzip files, as many as the pages have partitions. The reader takes any archive: files are cut where a version line may
+begin, and what a record's Content-Length claims is put together again.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, table, text_or_empty
+from .common import python_ready, shared_folder, table, text_or_empty
 
 CRLF = "\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_URN = "urn:x-page:"
-
-
-def run_head(run: str) -> str:
-    """How every record of a run begins. The run's random id keeps payloads from holding it."""
-    return f"WARC/1.1{CRLF}WARC-Warcinfo-ID: <urn:uuid:{run}>{CRLF}"
+#: What every record of every version begins with; archives are cut there.
+VERSION = "WARC/"
 
 
 def resolve_originals(headers: DataFrame, min_bytes: int = 1000) -> DataFrame:
@@ -38,27 +38,28 @@ def resolve_originals(headers: DataFrame, min_bytes: int = 1000) -> DataFrame:
 
 
 def plan_records(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
-    """``pages(page_id, url, html)`` with payload_digest, payload_bytes, record_type and refers_to.
+    """``pages(page_id, url, html, ...)`` as page_id, url, html, payload_digest, payload_bytes, record_type, refers_to.
 
     A row is a revisit if another row has the same payload of at least ``min_bytes`` and a larger page_id (a null
     page_id is smaller than any other). Rows that share the largest page_id are all responses. Null html is an empty
-    payload; a null url stays null.
+    payload; a null url stays null; other columns are not carried.
+
+    Revisits are resolved among headers; pages meet the decisions by page_id, so a payload that millions share burdens
+    no task with its copies.
     """
     payload = text_or_empty("html")
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
-        "url",
+        F.col("url").cast("string").alias("url"),
         payload.alias("html"),
         F.sha1(payload.cast("binary")).alias("payload_digest"),
         F.octet_length(payload).cast("long").alias("payload_bytes"),
     )
-    originals = resolve_originals(rows.drop("html", "url"), min_bytes)
-    revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))
-    return rows.join(originals, ["payload_digest", "payload_bytes"], "left").select(
-        *rows.columns,
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("original")).alias("refers_to"),
-    )
+    headers = rows.select("page_id", "payload_digest", "payload_bytes")
+    met = headers.join(resolve_originals(headers, min_bytes), ["payload_digest", "payload_bytes"])
+    revisits = met.filter(~F.col("page_id").eqNullSafe(F.col("original"))).select(F.col("page_id").alias("their_id"), F.col("payload_digest").alias("their_digest"), F.col("original").alias("refers_to")).distinct()
+    same = F.col("page_id").eqNullSafe(F.col("their_id")) & (F.col("payload_digest") == F.col("their_digest"))
+    return rows.join(revisits, same, "left").select(*rows.columns, F.when(F.col("refers_to").isNotNull(), "revisit").otherwise("response").alias("record_type"), "refers_to")
 
 
 def _line(name: str, value: Column) -> Column:
@@ -66,17 +67,23 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), F.regexp_replace(value, "[\r\n]+", " "), F.lit(CRLF)), F.lit(""))
 
 
-def write_archives(planned: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> str:
-    """Write a record for each row of ``plan_records`` under ``path``; returns the run id that ``read_archives`` takes."""
+def write_archives(planned: DataFrame, path: str, date: Column | None = None) -> str:
+    """Write a record for each row of ``plan_records`` under ``path``; returns the run's id, which is also that of its
+    warcinfo record. ``date`` (a string column in WARC's form) is when a record was captured, now if not given.
+
+    Each file is one gzip stream of many records, so records can't be fetched from within a file.
+    """
     run = str(uuid.uuid4())
+    date = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'") if date is None else date
     revisit = F.col("record_type") == "revisit"
     block = F.concat(F.lit(HTTP_HEAD), F.when(revisit, "").otherwise(F.col("html")))
     urn = lambda c: F.concat(F.lit(f"<{RECORD_URN}"), c.cast("string"), F.lit(">"))
     record = F.concat(
-        F.lit(run_head(run)),
+        F.lit(f"{VERSION}1.1{CRLF}"),
         _line("WARC-Type", F.col("record_type")),
         _line("WARC-Record-ID", F.coalesce(urn(F.col("page_id")), F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")))),
-        _line("WARC-Date", F.lit(date)),
+        _line("WARC-Date", date),
+        _line("WARC-Warcinfo-ID", F.lit(f"<urn:uuid:{run}>")),
         _line("WARC-Target-URI", F.col("url")),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "payload_digest")),
         _line("WARC-Profile", F.when(revisit, REVISIT_PROFILE)),
@@ -88,37 +95,105 @@ def write_archives(planned: DataFrame, path: str, date: str = "2024-01-01T00:00:
         F.lit(CRLF),
     )
     about = "software: tideline" + CRLF
-    info = f"{run_head(run)}WARC-Type: warcinfo{CRLF}WARC-Record-ID: <urn:uuid:{run}>{CRLF}WARC-Date: {date}{CRLF}Content-Type: application/warc-fields{CRLF}Content-Length: {len(about)}{CRLF}{CRLF}{about}{CRLF}"
-    records = planned.select(record.alias("value"))
-    records.write.option("lineSep", CRLF).option("compression", "gzip").text(f"{path}/records")
-    planned.sparkSession.range(1).select(F.lit(info).alias("value")).coalesce(1).write.option("lineSep", CRLF).option("compression", "gzip").text(f"{path}/info")
+    info = F.concat(
+        F.lit(f"{VERSION}1.1{CRLF}WARC-Type: warcinfo{CRLF}WARC-Record-ID: <urn:uuid:{run}>{CRLF}WARC-Date: "),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.lit(f"{CRLF}Content-Type: application/warc-fields{CRLF}Content-Length: {len(about)}{CRLF}{CRLF}{about}{CRLF}"),
+    )
+    for name, records in (("records", planned.select(record.alias("value"))), ("info", planned.sparkSession.range(1).select(info.alias("value")).coalesce(1))):
+        records.write.option("lineSep", CRLF).option("compression", "gzip").text(f"{path}/{name}")
     return run
 
 
-def read_archives(spark: SparkSession, path: str, run: str) -> DataFrame:
-    """Records of a run: page_id, url, record_type, refers_to, header_digest and payload (null for revisits).
+def parse_records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (lower-case names, first value of each) and block of every record of archives that were cut behind
+    each ``VERSION``. A piece within another record's block is put back; what isn't a whole record is an error."""
+    mark, fields, want, have = VERSION.encode(), None, 0, []
+    for piece in pieces:
+        if fields is not None:
+            have.append(mark + piece)
+        else:
+            if not piece.strip():
+                continue
+            head, gap, block = piece.partition(b"\r\n\r\n")
+            lines = head.replace(b"\r\n ", b" ").replace(b"\r\n\t", b" ").split(b"\r\n")
+            fields = {}
+            for line in lines[1:]:
+                name, colon, value = line.partition(b":")
+                if colon:
+                    fields.setdefault(name.strip().lower().decode("utf-8", "replace"), value.strip().decode("utf-8", "replace"))
+            if not gap or not fields.get("content-length", "").isdigit():
+                raise ValueError(f"not a WARC record: {piece[:80]!r}")
+            want, have = int(fields["content-length"]), [block]
+        got = sum(map(len, have))
+        if got >= want:
+            block = b"".join(have)
+            if block[want:].strip(b"\r\n"):
+                raise ValueError("a record is longer than its Content-Length")
+            yield fields, block[:want]
+            fields, have = None, []
+    if fields is not None:
+        raise ValueError("a record is cut short")
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(found: list[tuple[dict[str, str], bytes]]) -> pa.RecordBatch:
+        heads = pa.array([list(f.items()) for f, _ in found], pa.map_(pa.string(), pa.string()))
+        return pa.RecordBatch.from_arrays([heads, pa.array([b for _, b in found], pa.binary())], names=["fields", "block"])
+
+    found, size = [], 0
+    for record in parse_records(x for batch in batches for x in batch.column(0).to_pylist()):
+        found.append(record)
+        size += len(record[1])
+        if size > 4 << 20:
+            yield rows(found)
+            found, size = [], 0
+    yield rows(found)
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Every record of the WARC files (plain or gzip, one stream or one for each record, any version) at ``path``: fields
+    (header names in lower case -> value) and block (binary).
+
+    A gzip file is one task's, a plain one is split between records. Tasks hold a record at a time. A file that ends
+    within a record fails the job.
+    """
+    python_ready(spark)
+    pieces = spark.read.option("lineSep", VERSION).text(path).select(F.col("value").cast("binary"))
+    return pieces.mapInArrow(_parsed, "fields map<string,string>, block binary")
+
+
+def _hex_digest(digest: Column) -> Column:
+    """A SHA-1 digest as lower-case hex, which other writers give in base 32: eight letters are ten hex digits."""
+    figures = F.translate(F.upper(digest), "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEFGHIJKLMNOPQRSTUV")
+    parts = [F.lpad(F.conv(F.substring(figures, at, 8), 32, 16), 10, "0") for at in (1, 9, 17, 25)]
+    return F.lower(F.when(F.length(digest) == 32, F.concat(*parts)).otherwise(digest))
 
-    A record whose block is not as long as its Content-Length says fails the job.
+
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """Responses and revisits of archives: page_id (null where the record's id isn't one of ``write_archives``), record_id,
+    url, record_type, refers_to, refers_to_id, header_digest (of sha1) and payload (binary; null for revisits).
+
+    The payload is what follows the HTTP header of the block, as it is; blocks of other types are payload as a whole.
     """
-    pieces = spark.read.option("lineSep", run_head(run)).text(f"{path}/*").filter("value <> ''")
-    head_end = F.instr("value", CRLF * 2)
-    cut = pieces.select(
-        F.concat(F.lit(CRLF), F.substring("value", F.lit(1), head_end + 1)).alias("head"),
-        F.substring("value", head_end + 4, F.length("value") - head_end - 7).alias("block"),
-    )
-    field = lambda name, pattern="([^\r\n]*)": F.nullif(F.regexp_extract("head", f"\r\n{name}: {pattern}\r\n", 1), F.lit(""))
-    whole = F.octet_length("block") == field("Content-Length").cast("long")
+    block, field = F.col("block"), lambda name: F.col("fields")[name]
+    http = F.lower(field("content-type")).startswith("application/http")
+    head = F.octet_length(F.substring_index(block.cast("string"), CRLF * 2, 1))
+    body = F.substring(block, head + 5, F.octet_length(block))
+    page = lambda c: F.nullif(F.regexp_extract(c, f"<{RECORD_URN}(-?[0-9]+)>", 1), F.lit("")).cast("long")
     return (
-        cut.filter(field("WARC-Type").isin("response", "revisit"))
+        read_records(spark, path)
+        .filter(field("warc-type").isin("response", "revisit"))
         .select(
-            field("WARC-Record-ID", f"<{RECORD_URN}(-?[0-9]+)>").cast("long").alias("page_id"),
-            field("WARC-Target-URI").alias("url"),
-            field("WARC-Type").alias("record_type"),
-            field("WARC-Refers-To", f"<{RECORD_URN}(-?[0-9]+)>").cast("long").alias("refers_to"),
-            field("WARC-Payload-Digest", "sha1:([0-9a-f]+)").alias("header_digest"),
-            F.when(whole, F.substring("block", F.instr("block", CRLF * 2) + 4, F.length("block"))).otherwise(F.raise_error(F.lit("a record is cut short"))).alias("body"),
+            page(field("warc-record-id")).alias("page_id"),
+            field("warc-record-id").alias("record_id"),
+            field("warc-target-uri").alias("url"),
+            field("warc-type").alias("record_type"),
+            page(field("warc-refers-to")).alias("refers_to"),
+            field("warc-refers-to").alias("refers_to_id"),
+            F.nullif(_hex_digest(F.regexp_extract(field("warc-payload-digest"), "(?i)^sha1:(.+)$", 1)), F.lit("")).alias("header_digest"),
+            F.when(field("warc-type") == "response", F.when(http, body).otherwise(block)).alias("payload"),
         )
-        .select("page_id", "url", "record_type", "refers_to", "header_digest", F.when(F.col("record_type") == "response", F.col("body")).alias("payload"))
     )
 
 
@@ -127,13 +202,13 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
     A revisit whose response isn't there keeps its header's digest and has a null length.
     """
-    own = records.withColumns({"own_digest": F.sha1(F.col("payload").cast("binary")), "own_bytes": F.octet_length("payload").cast("long")}).drop("payload")
+    own = records.withColumns({"own_digest": F.sha1("payload"), "own_bytes": F.octet_length("payload").cast("long")}).drop("payload")
     responses = (
-        own.filter("record_type = 'response' and page_id is not null")
-        .groupBy(F.col("page_id").alias("refers_to"), F.col("own_digest").alias("header_digest"))
+        own.filter("record_type = 'response' and record_id is not null")
+        .groupBy(F.col("record_id").alias("refers_to_id"), F.col("own_digest").alias("header_digest"))
         .agg(F.max("own_bytes").alias("their_bytes"))
     )
-    return own.join(responses, ["refers_to", "header_digest"], "left").select(
+    return own.join(responses, ["refers_to_id", "header_digest"], "left").select(
         "page_id",
         "url",
         F.coalesce("own_bytes", "their_bytes").alias("payload_bytes"),
@@ -145,8 +220,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/warc"
-    run = write_archives(plan_records(table(spark, sf_dir, "pages")), path)
-    return resolve_revisits(read_archives(spark, path, run)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    write_archives(plan_records(table(spark, sf_dir, "pages")), path)
+    return resolve_revisits(read_archives(spark, f"{path}/*")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OP3_SQL = """
