@@ -26,33 +26,19 @@ HEAD = 1024
 STRIPE = 512
 
 
-def _quantised(scale: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keep, out, norms = [], [], []
-            for vec_id, row in zip(ids, rows, strict=True):
-                if vec_id is None or row is None or any(x is None for x in row):
-                    continue
-                v = np.floor(scale * np.array(row, np.float64))
-                if np.isfinite(v).all():
-                    keep.append(vec_id)
-                    out.append(v.astype(np.int64))
-                    norms.append(float(np.sqrt(v @ v)))
-            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(out, pa.list_(pa.int64())), pa.array(norms, pa.float64())], names=["vec_id", "v", "norm"])
-
-    return run
-
-
 def quantised(vectors: DataFrame, vector: str, scale: int = 256) -> DataFrame:
     """vec_id, v (floor(scale * x) of every component) and its length norm.
 
     Vectors that are null or hold null or non-finite components take no part, nor do rows without vec_id; of rows
-    that repeat a vec_id the smallest vector counts.
+    that repeat a vec_id the smallest vector counts. Vectors so long that a score could leave 62 bits fail the job.
     """
-    python_ready(vectors.sparkSession)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
-    return rows.mapInArrow(_quantised(scale), "vec_id long, v array<long>, norm double").groupBy("vec_id").agg(F.min(F.struct("v", "norm")).alias("r")).select("vec_id", "r.v", "r.norm")
+    x = F.col("x")
+    finite = x.isNotNull() & F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("x")).filter(F.col("vec_id").isNotNull() & finite)
+    whole = F.transform("x", lambda c: F.floor(c * F.lit(float(scale))))
+    length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda sum_, c: sum_ + F.pow(F.floor(c * F.lit(float(scale))).cast("double"), F.lit(2.0))))
+    sized = rows.select("vec_id", whole.alias("v"), F.when(length < 2.0**31, length).otherwise(F.raise_error(F.lit("a vector is too long for 64-bit scores")).cast("double")).alias("norm"))
+    return sized.groupBy("vec_id").agg(F.min(F.struct("v", "norm")).alias("r")).select("vec_id", "r.v", "r.norm")
 
 
 def _moments(width: int):
@@ -88,9 +74,12 @@ def rotation(rows: DataFrame, width: int) -> np.ndarray:
 class _Best:
     """The k best scores of each query so far, ties to the smaller id."""
 
+    #: Less than any score.
+    NONE = -(2**62)
+
     def __init__(self, queries: int, k: int):
         self.k = k
-        self.score = np.full((queries, k), -np.inf)
+        self.score = np.full((queries, k), self.NONE, np.int64)
         self.ids = np.full((queries, k), np.iinfo(np.int64).max)
 
     def add(self, q: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
@@ -107,7 +96,7 @@ class _Best:
 
     @property
     def bound(self) -> np.ndarray:
-        return self.score[:, -1]
+        return np.where(self.score[:, -1] == self.NONE, -np.inf, self.score[:, -1])
 
 
 def search_block(queries: pd.DataFrame, data: pd.DataFrame, turn: np.ndarray, k: int, first: int) -> tuple[_Best, np.ndarray, int]:
@@ -136,8 +125,8 @@ def search_block(queries: pd.DataFrame, data: pd.DataFrame, turn: np.ndarray, k:
         qi, di = live[qi], di + lo
         if len(qi):
             scored += len(qi)
-            score = np.einsum("ij,ij->i", q[qi], d[di]) if exact else (q[qi].astype(np.int64) * d[di].astype(np.int64)).sum(axis=1)
-            best.add(qi, d_ids[di], score)
+            score = np.einsum("ij,ij->i", q[qi], d[di]) if exact else np.einsum("ij,ij->i", q[qi].astype(np.int64), d[di].astype(np.int64))
+            best.add(qi, d_ids[di], score.astype(np.int64))
     return best, q_ids, scored
 
 
@@ -146,49 +135,67 @@ def _block_search(turn: np.ndarray, k: int, first: int):
         if not len(queries) or not len(data):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         best, q_ids, _ = search_block(queries, data, turn, k, first)
-        qi, nth = np.nonzero(np.isfinite(best.score))
-        return pd.DataFrame({"query_id": q_ids[qi], "vec_id": best.ids[qi, nth], "score": best.score[qi, nth].astype(np.int64)})
+        qi, nth = np.nonzero(best.score > _Best.NONE)
+        return pd.DataFrame({"query_id": q_ids[qi], "vec_id": best.ids[qi, nth], "score": best.score[qi, nth]})
 
     return run
 
 
+def _blocks(rows: DataFrame, size: str, wanted: int, most: int) -> DataFrame:
+    """``rows`` with ``block``: numbered by descending ``size``, about ``most`` rows each. Blocks are cut at quantiles of
+    the size, and by hash where one holds too many (many equal sizes)."""
+    edges = sorted(set(rows.approxQuantile(size, [i / wanted for i in range(1, wanted)], 0.1 / wanted)), reverse=True) if wanted > 1 else []
+    # As a loop over one array, for as many edges as there are blocks.
+    layered = rows.withColumn("layer", F.size(F.filter(F.lit(edges), lambda e: F.col(size) < e)) if edges else F.lit(0))
+    parts = layered.groupBy("layer").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
+    # One row for each layer: about as many rows as there are blocks.
+    before = Window.orderBy("layer").rowsBetween(Window.unboundedPreceding, -1)
+    parts = written(parts.withColumn("from", F.coalesce(F.sum("parts").over(before), F.lit(0))), "layers")
+    return layered.join(parts, "layer").withColumn("block", (F.col("from") + F.pmod(F.xxhash64("vec_id"), "parts")).cast("int")).drop("layer", "parts", "from")
+
+
 def top_inner_products(vectors: DataFrame, vector: str, is_query: Column, k: int = 5, scale: int = 256, first: int | None = None) -> DataFrame:
     """For each vec_id of ``vectors`` where ``is_query`` holds, its k best others: query_id, rank, vec_id, score.
 
-    See ``quantised`` for what takes part; shorter vectors end in zeros. Queries with fewer than k others get all. Ties
-    go to the smaller vec_id. Data blocks are cut by length, so a task meets long vectors first and a block of short
-    ones is left after its first stripe; equal vectors spread over blocks like others. No block grows with the data.
+    ``is_query`` may use vec_id only. See ``quantised`` for what takes part; shorter vectors end in zeros. Queries with
+    fewer than k others get all. Ties go to the smaller vec_id. Other columns are not read.
+
+    The longest vectors give every query a first bound; by Cauchy-Schwarz that says how long a vector must be to matter
+    to it. Data blocks are cut by length and query blocks by that least length, so a query block is sent to the longest
+    data blocks only, and a data block only to query blocks that may want it. No block grows with the data.
     """
+    spark = vectors.sparkSession
+    python_ready(spark)
     rows = written(quantised(vectors, vector, scale), "vectors")
     about = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width"), F.count_if(is_query).alias("q")).first()
     schema = "query_id long, vec_id long, score long"
     if not about["q"]:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     turn = rotation(rows, max(1, about["width"]))
     first = first or max(1, len(turn) // 4)
-    query_blocks, wanted = math.ceil(about["q"] / QUERY_BLOCK), math.ceil(about["n"] / DATA_BLOCK)
-    # Blocks by length: quantiles of the length, split further where one holds too many (many equal lengths).
-    edges = sorted(set(rows.approxQuantile("norm", [i / wanted for i in range(1, wanted)], 0.1 / wanted))) if wanted > 1 else []
-    layer = sum((F.when(F.col("norm") < e, 1).otherwise(0) for e in edges), F.lit(0)) if len(edges) < 64 else F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: F.col("norm") < e))
-    layered = rows.withColumn("layer", layer)
-    parts = layered.groupBy("layer").agg(F.ceil(F.count(F.lit(1)) / DATA_BLOCK).cast("int").alias("parts"))
-    # One row for each layer: about as many rows as there are data blocks.
-    before = Window.orderBy("layer").rowsBetween(Window.unboundedPreceding, -1)
-    parts = written(parts.withColumn("from", F.coalesce(F.sum("parts").over(before), F.lit(0))), "layers")
-    blocks = parts.agg(F.sum("parts")).first()[0]
-    data = layered.join(parts, "layer").select("vec_id", "v", "norm", (F.col("from") + F.pmod(F.xxhash64("vec_id"), "parts")).cast("int").alias("block"))
-    queries = rows.filter(is_query).withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)))
-    own = [F.col(c).alias(c) for c in ("vec_id", "v", "norm")]  # new columns to Spark, so a frame can meet itself
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
+    query_blocks, data_blocks = math.ceil(about["q"] / QUERY_BLOCK), math.ceil(about["n"] / DATA_BLOCK)
     search = _block_search(turn, k, first)
-    head = rows.orderBy(F.desc("norm"), "vec_id").limit(HEAD).select(*own, numbers.alias("head_qb"))
-    seen = queries.groupBy("qb").cogroup(head.groupBy("head_qb")).applyInPandas(search, schema)
+    queries = rows.filter(is_query)
+    head = rows.orderBy(F.desc("norm"), "vec_id").limit(HEAD).select(F.col("vec_id").alias("vec_id"), F.col("v").alias("v"), F.col("norm").alias("norm"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("head_qb"))
+    dealt = queries.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int"))
+    seen = dealt.groupBy("qb").cogroup(head.groupBy("head_qb")).applyInPandas(search, schema)
     floors = seen.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).filter(F.col("n") == k).select(F.col("query_id").alias("vec_id"), "floor")
-    bounded = queries.join(floors, "vec_id", "left")
-    # The query set meets all vectors in blocks: every pair of a query block and a data block is one small group.
-    left = bounded.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = data.select(*own, F.col("block").alias("data_block"), numbers.alias("data_qb"))
-    found = left.groupBy("qb", "block").cogroup(right.groupBy("data_qb", "data_block")).applyInPandas(search, schema)
+    # The least length of a vector that can reach the bound, a little less for rounding.
+    least = F.coalesce(F.greatest((F.col("floor") * (1 - 1e-9) - 1e-6) / F.col("norm"), F.lit(0.0)), F.lit(0.0))
+    bounded = written(queries.join(floors, "vec_id", "left").withColumn("least", F.when(F.col("norm") > 0, least).otherwise(0.0)), "bounded")
+    asked = written(_blocks(bounded, "least", query_blocks, QUERY_BLOCK).withColumnRenamed("block", "qb"), "queries")
+    data = written(_blocks(rows, "norm", data_blocks, DATA_BLOCK), "data")
+    # One number for each block on the driver: the longest vector of a data block, the least need of a query block.
+    longest = dict(data.groupBy("block").agg(F.max("norm")).collect())
+    needs = dict(asked.groupBy("qb").agg(F.min("least")).collect())
+    by_length, by_need = sorted(longest, key=lambda b: -longest[b]), sorted(needs, key=needs.get)
+    lengths, wants = np.array([-longest[b] for b in by_length]), np.array([needs[q] for q in by_need])
+    # Blocks in those orders: what a block meets is a run from the first.
+    met = spark.createDataFrame([(q, i, int(np.searchsorted(lengths, -needs[q], "right"))) for i, q in enumerate(by_need)], "qb int, q_at int, data_met int")
+    meets = spark.createDataFrame([(b, i, int(np.searchsorted(wants, longest[b], "right"))) for i, b in enumerate(by_length)], "block int, d_at int, asked_by int")
+    left = asked.join(met, "qb").filter("data_met > 0").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("data_met") - 1))).select("vec_id", "v", "norm", "floor", "q_at", "other")
+    right = data.join(meets, "block").filter("asked_by > 0").select(F.col("vec_id").alias("vec_id"), F.col("v").alias("v"), F.col("norm").alias("norm"), F.col("d_at").alias("d_at"), F.explode(F.sequence(F.lit(0), F.col("asked_by") - 1)).alias("q_other"))
+    found = left.groupBy("q_at", "other").cogroup(right.groupBy("q_other", "d_at")).applyInPandas(search, schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
