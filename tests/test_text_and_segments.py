@@ -80,8 +80,11 @@ def test_a_missing_anchor_is_never_the_whole_page(spark):
     assert got[2] == (None, "anchor not found") and got[3] == (None, "stop anchor not found")
 
 
-def test_ambiguity_is_a_problem_unless_one_is_pending(spark):
-    docs = [(1, "9期 01 02 03 \n9期 04 05 06 "), (2, "9期 01 02 03 \n9期 04 05 06 开:??")]
+def test_ambiguity_is_a_problem_unless_pending_rows_are_preferred(spark):
+    docs = [(1, "9期 01 02 03 \n9期 04 05 06 "), (2, "9期 01 02 03 \n9期 04 05 06 开:??"), (3, "9期 07 07 08 \n9期 07 07 08 ")]
     frame = spark.createDataFrame(docs, "doc int, content string").selectExpr("*", "cast(array() as array<string>) AS keywords", "3 AS count", "'top' AS region", "5 AS window")
-    got = {r.doc: (r.value, r.problem) for r in g.extract(frame).collect()}
-    assert got == {1: (None, "ambiguous"), 2: ("04,05,06", None)}
+    found = lambda **how: {r.doc: (r.value, r.problem) for r in g.extract(frame, **how).collect()}
+    assert found() == {1: (None, "ambiguous"), 2: (None, "ambiguous")}
+    assert found(prefer_pending=True) == {1: (None, "ambiguous"), 2: ("04,05,06", None)}
+    assert found(strict=False) == {1: ("01,02,03", None), 2: ("04,05,06", None)}
+    assert found(allow_repeats=True)[3] == ("07,07,08", None)

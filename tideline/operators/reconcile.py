@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 
 SITE = ["site_name", "site_url"]
-# Fixed value: what marks a document's error as one that fails its site.
-HARD_MARKERS = ["候选不唯一", "冲突", "身份", "重复号码", "锚点"]
+# What marks a document's error as one that fails its site.
+HARD_MARKERS = ["候选不唯一", "候选冲突", "号码有重复", "跨周期候选", "同时存在数字期号"]
 
 
 def cross_document_conflicts(found: DataFrame) -> DataFrame:

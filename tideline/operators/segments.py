@@ -129,34 +129,33 @@ def sequence_window(rows: DataFrame, default_rows: int = WINDOW_ROWS) -> DataFra
     return direction_window(placed, default_rows).withColumns({"doc": F.col("__doc"), "start": F.col("__start")}).drop("__doc", "__start")
 
 
-def candidate_rows(docs: DataFrame) -> DataFrame:
+def candidate_rows(docs: DataFrame, allow_repeats: bool = False) -> DataFrame:
     """Segments of ``docs(doc, content, keywords, count, region, window, ...)`` with their groups, seam and window.
 
-    ``keywords`` are normalised. ``groups`` are those of the wanted size; ``value`` is the first of them without repeats,
-    joined by commas, by which rows are told apart in the window.
+    ``keywords`` are normalised. ``groups`` are those of the wanted size; ``value`` is the first of them without repeats
+    (the first of all with ``allow_repeats``), joined by commas, by which rows are told apart in the window.
     """
-    found = segments(docs).filter(keyword_match(F.col("segment"), F.col("keywords")))
+    # The seam is that of all segments, not only of those with the keywords, so it comes first.
+    found = cycle_seam(segments(docs)).filter(keyword_match(F.col("segment"), F.col("keywords")))
     sized = found.withColumn("groups", groups_for_count(owned_text(F.col("segment")), F.col("count")))
-    clean = F.filter("groups", lambda g: ~t.has_repeats(g))
-    valued = sized.withColumn("value", F.array_join(F.try_element_at(clean, F.lit(1)), ","))
-    # The seam is that of all segments, not only of those with the keywords.
-    seams = cycle_seam(segments(docs).select("doc", "start", "period")).groupBy("doc").agg(F.first("seam").alias("seam"))
-    return direction_window(valued.join(seams, "doc"))
+    clean = F.col("groups") if allow_repeats else F.filter("groups", lambda g: ~t.has_repeats(g))
+    return direction_window(sized.withColumn("value", F.array_join(F.try_element_at(clean, F.lit(1)), ",")))
 
 
-def select_candidates(rows: DataFrame, strict: bool = True) -> DataFrame:
+def select_candidates(rows: DataFrame, strict: bool = True, prefer_pending: bool = False, allow_repeats: bool = False) -> DataFrame:
     """One value for each document and period of ``candidate_rows``: doc, period, value, start, problem.
 
     In the window first; rows outside count only if the window holds nothing of the period and nothing but older ones.
-    Groups with repeats are out. One distinct group is the value; of several, the only one whose result is pending; else
-    an "ambiguous" problem if ``strict``, else the one nearest the document's end of interest.
+    Groups with repeats are out, unless ``allow_repeats``. One distinct group is the value. Of several it is the only one
+    whose result is pending if ``prefer_pending``; else they are an "ambiguous" problem if ``strict``; else it is the
+    only pending one, or the one nearest the document's end of interest.
     """
     live = rows.filter(F.col("seam").isNull() | (F.col("start") < F.col("seam")))
     newest = F.max(F.when(F.col("in_window"), F.col("period"))).over(Window.partitionBy("doc"))
     has_inside = F.bool_or(F.coalesce("in_window", F.lit(True)) & (F.size("groups") > 0)).over(Window.partitionBy("doc", "period"))
     usable = live.withColumns({"__newest": newest, "__inside": has_inside}).filter(F.coalesce("in_window", F.lit(True)) | (~F.col("__inside") & (F.col("__newest") < F.col("period"))))
     each = usable.select("doc", "period", "start", "region", "segment", F.posexplode("groups").alias("i", "group"))
-    clean = each.filter(~t.has_repeats(F.col("group"))).withColumns({"value": F.array_join("group", ","), "pending": t.pending_marker(F.col("segment"))})
+    clean = (each if allow_repeats else each.filter(~t.has_repeats(F.col("group")))).withColumns({"value": F.array_join("group", ","), "pending": t.pending_marker(F.col("segment"))})
     at = F.struct("start", "i")
     distinct = clean.groupBy("doc", "period", "value").agg(F.min(at).alias("at"), F.min_by("pending", at).alias("pending"), F.first("region").alias("region"))
     picked = distinct.groupBy("doc", "period").agg(
@@ -168,13 +167,16 @@ def select_candidates(rows: DataFrame, strict: bool = True) -> DataFrame:
         F.first("region").alias("region"),
     )
     any_one = F.when(F.col("region") == "bottom", F.col("last")).otherwise(F.col("first"))
-    one = F.when(F.col("n") == 1, F.col("first")).when(F.col("open") == 1, F.col("of_open")).otherwise(F.lit(None) if strict else any_one)
+    one = F.when(F.col("n") == 1, F.col("first"))
+    if prefer_pending or not strict:
+        one = one.when(F.col("open") == 1, F.col("of_open"))
+    one = one.otherwise(F.lit(None) if strict else any_one)
     return picked.withColumn("one", one).select("doc", "period", F.col("one.value").alias("value"), F.col("one.at.start").alias("start"), F.when(F.col("one").isNull(), "ambiguous").alias("problem"))
 
 
-def extract(docs: DataFrame, strict: bool = True) -> DataFrame:
+def extract(docs: DataFrame, strict: bool = True, prefer_pending: bool = False, allow_repeats: bool = False) -> DataFrame:
     """Values of all periods of ``docs`` at once; see ``candidate_rows`` and ``select_candidates``."""
-    return select_candidates(candidate_rows(docs), strict)
+    return select_candidates(candidate_rows(docs, allow_repeats), strict, prefer_pending, allow_repeats)
 
 
 def available_periods(rows: DataFrame) -> DataFrame:

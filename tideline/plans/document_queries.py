@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -26,7 +26,7 @@ def _wrapped(spark: SparkSession, sf: str) -> DataFrame:
 
 def _expanded(spark: SparkSession, sf: str) -> DataFrame:
     pages = _wrapped(spark, sf)
-    return d.expand_pages(pages.filter("page_id % 2 = 0"), pages)
+    return d.expand_pages(pages, pages)
 
 
 def _chain(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,7 +58,42 @@ def _by_source(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return docs, docs.select("site").distinct().withColumns({"source_pattern": pattern, "anchor": F.lit("Released"), "stop_anchor": F.lit("Apache")})
 
 
+def _case(number: Column, texts: list[str]) -> Column:
+    """The text of a row's number, with the number itself in place of #."""
+    pick = F.get(F.array(*[F.lit(x) for x in texts]), F.pmod(number, F.lit(len(texts))).cast("int"))
+    return F.replace(pick, F.lit("#"), number.cast("string"))
+
+
+#: Cases that the given tables lack, by a row's number, and what must come out: also what the SQL says.
+LINKS = [("../#.js", "http://h/a/#.js"), ("./b/./#/..", "http://h/a/b/b/"), ("/#/../x?y=../#", "http://h/x?y=../#"), ("../../../#", "http://h/#"), ("?q=#", "http://h/a/b/c.html?q=#"), ("//o/#/../x", "http://o/#/../x"), ("x/#/", "http://h/a/b/x/#/"), ("ftp://o/../#", "ftp://o/../#")]
+IDENTITIES = [("http://h/topic/t#/rest", "t#"), ("http://h/x/Article/Lottery/#?y=1", "#"), ("http://h/post/12/n#", "n#"), ("http://h/article/#/", "#"), ("http://h/", ""), ("http://h", "")]
+NAMES = [("楼主：丙# 作者：丁#", "丁#"), ("12期《甲#》 12期【乙#】", "乙#"), ("12期【稳杀#】 13期【乙#公开】", "乙#"), ("012期『丙#』 12期《丁#》", "丁#"), ("<title>17图库</title>", "页"), ("<title> 某 站# </title>text", "某站#"), ("发帖人: 昵称：戊# 准", "戊#"), ("text", "页")]
+BOXES = [
+    ('<p>A#</p><div class="top box">a<br>b#<script>var z = 1</script><div>c</div>&lt;d</div>', "a\nb#\nc\n<d", None),
+    ('<div class="box">x<div class="box">y#</div></div>', None, "duplicate"),
+    ('<div class="box">x</div><div class="box">#</div>', None, "duplicate"),
+    ('<div class="boxes">#</div>', None, "missing"),
+    ('<div class="box">#', None, "unclosed"),
+    ('<div class="box">#</div> A#', None, "anchor"),
+    ('A# <div class="box">x#</div>', "x#", None),
+]
+
+
+def _boxes(spark: SparkSession, sf: str) -> DataFrame:
+    n = F.col("o_orderkey")
+    return d.container_text(table(spark, sf, "orders").select(n.cast("string").alias("url"), _case(n, [b for b, *_ in BOXES]).alias("html"), F.concat(F.lit("A"), n.cast("string")).alias("anchor")), "box")
+
+
+def _expected(number: str, values: list[str | None]) -> str:
+    quoted = [("NULL" if x is None else "'" + x.replace("'", "''") + "'") for x in values]
+    return f"replace([{', '.join(quoted)}][{number} % {len(values)} + 1], '#', CAST({number} AS VARCHAR))"
+
+
 QUERIES = {
+    "joined_links": lambda s, p: table(s, p, "orders").select("o_orderkey", d.absolute_url(_case(F.col("o_orderkey"), [a for a, _ in LINKS]), F.lit("http://h/a/b/c.html?k=/v#z")).alias("url")),
+    "source_identities": lambda s, p: table(s, p, "orders").select("o_orderkey", d.source_identity(_case(F.col("o_orderkey"), [a for a, _ in IDENTITIES])).alias("identity")),
+    "display_names": lambda s, p: table(s, p, "orders").select("o_orderkey", d.display_name(_case(F.col("o_orderkey"), [a for a, _ in NAMES]), F.lit("页")).alias("name")),
+    "container_cases": _boxes,
     "page_fingerprint": lambda s, p: _pages(s, p).select("page_id", d.fingerprint(F.col("html")).alias("fingerprint")),
     "page_host": lambda s, p: _pages(s, p).select("page_id", t.host(F.col("url")).alias("host"), t.origin(F.col("url")).alias("origin"), t.drop_fragment(F.col("url")).alias("plain_url")),
     "page_slug": lambda s, p: _pages(s, p).select("page_id", t.site_slug(F.col("url")).alias("slug"), d.source_identity(F.col("url")).alias("identity")),
@@ -67,7 +102,7 @@ QUERIES = {
     "visible_document": lambda s, p: _pages(s, p).select("page_id", F.md5(d.visible_document(F.col("html")).cast("binary")).alias("content_md5")),
     "page_documents": lambda s, p: _expanded(s, p).groupBy("kind", "priority", "parseable", "authorization").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("content")).alias("chars")),
     "decoded_payloads": lambda s, p: _wrapped(s, p).select("page_id", F.explode(d.decoded_payloads(F.col("html"))).alias("payload")),
-    "child_region": lambda s, p: _wrapped(s, p).filter("page_id % 4 = 0").select("page_id", d.child_region(F.col("html"), F.concat(F.lit("http://w.example/"), (F.col("page_id") + 1).cast("string"), F.lit("/index.html"))).alias("region")),
+    "child_region": lambda s, p: _wrapped(s, p).select("page_id", d.child_region(F.col("html"), F.concat(F.lit("http://w.example/"), (F.col("page_id") + 1).cast("string"), F.lit("/index.html"))).alias("region")),
     "page_text": lambda s, p: _pages(s, p).select("page_id", t.html_to_text(F.col("html")).alias("text")),
     "display_name": lambda s, p: _pages(s, p).select("page_id", d.display_name(F.col("html"), F.col("url")).alias("name")),
     "container_scope": lambda s, p: d.container_text(_pages(s, p), "ad"),
@@ -87,7 +122,7 @@ w AS (SELECT page_id, {_URL.format('page_id')} AS url, html || CASE WHEN page_id
       || CASE WHEN page_id % 4 = 0 THEN '<iframe src="/' || (page_id + 1) || '/index.html"></iframe><script src="../x.js"></script>' ELSE '' END AS html, own[1:40] AS payload FROM w0)"""
 _VISIBLE = "regexp_replace(regexp_replace(regexp_replace({0}, '<script\\b[^>]*>.*?</script\\s*>', '', 'gis'), '<iframe\\b[^>]*>.*?</iframe\\s*>', '', 'gis'), '<(?:style|noscript)\\b[^>]*>.*?</(?:style|noscript)\\s*>', '', 'gis')"
 _E = f"""{_W},
-e AS (SELECT page_id, url, html, payload, 'page' AS k FROM w WHERE page_id % 2 = 0 UNION ALL SELECT f.page_id, f.url, f.html, f.payload, 'iframe' FROM w p JOIN w f ON f.page_id = p.page_id + 1 WHERE p.page_id % 4 = 0),
+e AS (SELECT page_id, url, html, payload, 'page' AS k FROM w UNION ALL SELECT f.page_id, f.url, f.html, f.payload, 'iframe' FROM w p JOIN w f ON f.page_id = p.page_id + 1 WHERE p.page_id % 4 = 0),
 sc AS (SELECT k, unnest(list_filter(list_transform(list_zip(regexp_extract_all(html, '<script\\b([^>]*)>(.*?)</script\\s*>', 1, 'is'), regexp_extract_all(html, '<script\\b([^>]*)>(.*?)</script\\s*>', 2, 'is')),
         lambda x: CASE WHEN contains(x[1], 'src=') THEN '' ELSE trim(x[2], chr(10) || chr(13) || chr(9) || ' ') END), lambda y: y <> '')) AS content FROM e),
 docs AS (
@@ -102,6 +137,10 @@ i AS (SELECT url, period, CASE WHEN count(DISTINCT href) = 1 THEN min(href) END
 _SOURCE_N = "CAST(regexp_extract(source, '(\\d+)', 1) AS INTEGER)"
 
 ORACLES = {
+    "joined_links": f"SELECT o_orderkey, {_expected('o_orderkey', [b for _, b in LINKS])} AS url FROM orders",
+    "source_identities": f"SELECT o_orderkey, {_expected('o_orderkey', [b for _, b in IDENTITIES])} AS identity FROM orders",
+    "display_names": f"SELECT o_orderkey, {_expected('o_orderkey', [b for _, b in NAMES])} AS name FROM orders",
+    "container_cases": f"SELECT CAST(o_orderkey AS VARCHAR) AS url, {_expected('o_orderkey', [b for _, b, _ in BOXES])} AS text, {_expected('o_orderkey', [c for *_, c in BOXES])} AS problem FROM orders",
     "page_fingerprint": "SELECT page_id, sha256(html) AS fingerprint FROM pages",
     "page_host": "SELECT page_id, lower(regexp_extract(url, '^\\w+://([^/?#]*)', 1)) AS host, regexp_extract(url, '^(\\w+://[^/?#]*)', 1) AS origin, split_part(url, '#', 1) AS plain_url FROM pages",
     "page_slug": """
@@ -117,7 +156,8 @@ SELECT page_id, CAST(generate_subscripts(b, 1) - 1 AS INTEGER) AS n, trim(unnest
     "visible_document": f"SELECT page_id, md5({_VISIBLE.format('html')}) AS content_md5 FROM pages",
     "page_documents": f"{_E} SELECT kind, CAST(priority AS INTEGER) AS priority, parseable, \"authorization\", count(*) AS n, CAST(sum(length(content)) AS BIGINT) AS chars FROM docs GROUP BY ALL",
     "decoded_payloads": f"{_W} SELECT page_id, payload FROM w WHERE page_id % 3 = 0",
-    "child_region": f"""{_W} SELECT page_id, CASE WHEN least(instr(html, '/' || (page_id + 1) || '/index.html'), instr(html, 'index.html')) - 1 < length(html) / 2.0 THEN 'top' ELSE 'bottom' END AS region FROM w WHERE page_id % 4 = 0""",
+    "child_region": f"""{_W}, m AS (SELECT page_id, html, list_min(list_filter([instr(html, '/' || (page_id + 1) || '/index.html'), instr(html, 'index.html')], lambda x: x > 0)) AS place FROM w)
+SELECT page_id, CASE WHEN place IS NULL THEN '' WHEN place - 1 < length(html) / 2.0 THEN 'top' ELSE 'bottom' END AS region FROM m""",
     "container_scope": """
 SELECT url, CASE WHEN len(regexp_extract_all(html, '<div class="ad">')) = 1 THEN replace(replace(replace(regexp_replace(regexp_extract(html, '<div class="ad">(.*?)</div>', 1, 's'), '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') END AS text,
        CASE WHEN NOT contains(html, '<div class="ad">') THEN 'missing' WHEN len(regexp_extract_all(html, '<div class="ad">')) > 1 THEN 'duplicate' END AS problem FROM pages""",

@@ -29,7 +29,7 @@ def _errors(spark: SparkSession, sf: str) -> DataFrame:
 def _results(spark: SparkSession, sf: str) -> DataFrame:
     """Three numbers of each line item as a supplier's numbers for a day of the month."""
     k = F.col("l_partkey")
-    items = table(spark, sf, "lineitem").filter("dayofmonth(l_shipdate) <= 3 and l_orderkey % 40 = 0")
+    items = table(spark, sf, "lineitem")
     return items.select(F.col("l_suppkey").alias("site"), F.dayofmonth("l_shipdate").alias("period"), F.array(*[F.format_string("%02d", x) for x in (k % 55 + 1, F.expr("l_partkey div 49 % 49 + 1"), F.expr("l_partkey div 7 % 49 + 1"))]).alias("numbers")).distinct()
 
 
@@ -153,10 +153,15 @@ def _releases(spark: SparkSession, sf: str) -> DataFrame:
     return s.release_selection(posts, contracts)
 
 
+#: Errors that fail their site, and errors that look like them.
+HARD = ["3期 候选不唯一：1 | 2", "候选冲突", "号码有重复", "跨周期候选", "同时存在数字期号"]
+SOFT = ["没有找到正文锚点", "冲突", "身份", "重复号码", "timed out", "候选"]
+
 QUERIES = {
     "cross_document_conflict": lambda x, p: r.cross_document_conflicts(_found(x, p)),
     "choose_document": lambda x, p: r.choose_documents(_found(x, p).withColumn("period", F.col("doc") % 3), _found(x, p)),
     "site_errors": lambda x, p: r.site_errors(_errors(x, p)),
+    "error_kinds": lambda x, p: r.site_errors(table(x, p, "events").select(F.col("event_id").cast("string").alias("site"), F.lit("d").alias("doc"), F.get(F.array(*[F.lit(a) for a in HARD + SOFT]), F.pmod("event_id", F.lit(len(HARD + SOFT))).cast("int")).alias("reason"))).select("site", "failed"),
     "failure_summary": lambda x, p: r.failure_summary(_errors(x, p)),
     "result_violations": lambda x, p: r.result_violations(_results(x, p), _rules(x, p), REQUESTED),
     "valid_results": lambda x, p: r.valid_results(_results(x, p), r.result_violations(_results(x, p), _rules(x, p), [1, 2, 3]).filter("violation <> 'missing'")).select("site", "period", F.array_join("numbers", ",").alias("numbers")),
@@ -191,7 +196,7 @@ QUERIES = {
 _FOUND = "WITH f AS (SELECT source AS site, doc_id AS doc, CAST(doc_id % 50 AS INTEGER) AS period, left(md5(text), 1) AS value, doc_id % 7 AS priority FROM documents)"
 _ERR = "WITH e AS (SELECT 'site' || user_id AS site, CASE WHEN event_id % 97 = 0 THEN '候选不唯一: 2' WHEN event_type = 'error' THEN 'timed out' WHEN event_type = 'click' THEN '没有找到指定期数' ELSE 'HTTP Error 404' END AS reason FROM events)"
 _RES = """
-WITH v AS (SELECT DISTINCT l_suppkey AS site, CAST(day(l_shipdate) AS INTEGER) AS period, [l_partkey % 55 + 1, l_partkey // 49 % 49 + 1, l_partkey // 7 % 49 + 1] AS n FROM lineitem WHERE day(l_shipdate) <= 3 AND l_orderkey % 40 = 0),
+WITH v AS (SELECT DISTINCT l_suppkey AS site, CAST(day(l_shipdate) AS INTEGER) AS period, [l_partkey % 55 + 1, l_partkey // 49 % 49 + 1, l_partkey // 7 % 49 + 1] AS n FROM lineitem),
 bad AS (SELECT site, period, 'not a number' AS violation FROM v WHERE n[1] > 49 UNION SELECT site, period, 'wrong size' FROM v WHERE site % 5 = 0 AND period = 3
  UNION SELECT site, period, 'repeats' FROM v WHERE site % 2 = 1 AND len(list_distinct(n)) < 3 UNION SELECT site, period, 'two values' FROM v GROUP BY site, period HAVING count(*) > 1)"""
 def _all(site: str, period: str) -> str:
@@ -208,11 +213,12 @@ _BLOCKS = "b AS (SELECT ord AS block, site_name AS name, CASE WHEN ord % 4 = 0 T
 _x = lambda body: sql(body if body.lstrip().startswith("SELECT") else "x AS (SELECT 1), " + body)
 
 ORACLES = {
+    "error_kinds": f"SELECT CAST(event_id AS VARCHAR) AS site, event_id % {len(HARD + SOFT)} < {len(HARD)} AS failed FROM events",
     "cross_document_conflict": f"{_FOUND} SELECT site, period, count(DISTINCT value) AS \"values\", min(value) || ' | ' || max(value) AS preview FROM f GROUP BY 1, 2 HAVING count(DISTINCT value) > 1",
     "choose_document": f"{_FOUND} SELECT site, doc, CAST(1 AS BIGINT) AS n, priority FROM f QUALIFY row_number() OVER (PARTITION BY site ORDER BY priority DESC, doc) = 1",
     "site_errors": f"{_ERR} SELECT site, bool_or(starts_with(reason, '候选')) AS failed, count(*) AS errors, min(reason) FILTER (starts_with(reason, '候选')) AS reason FROM e GROUP BY 1",
     "failure_summary": f"{_ERR} SELECT CASE WHEN starts_with(reason, '候选') THEN 'ambiguous' WHEN reason = 'timed out' THEN 'transient network' WHEN starts_with(reason, '没有') THEN 'no such period' ELSE 'other' END AS category, count(*) AS failures FROM e GROUP BY 1",
-    "result_violations": f"""{_RES} SELECT * FROM bad UNION ALL SELECT DISTINCT site, period, 'period not requested' FROM v WHERE period = 1
+    "result_violations": f"""{_RES} SELECT * FROM bad UNION ALL SELECT DISTINCT site, period, 'period not requested' FROM v WHERE period NOT IN (2, 3, 4)
 UNION ALL SELECT s_suppkey, CAST(p AS INTEGER), 'missing' FROM supplier, (SELECT unnest([2, 3, 4]) AS p) WHERE NOT EXISTS (SELECT 1 FROM v WHERE site = s_suppkey AND period = p)""",
     "valid_results": f"{_RES} SELECT site, period, array_to_string(list_transform(n, lambda x: printf('%02d', x)), ',') AS numbers FROM v WHERE site NOT IN (SELECT site FROM bad)",
     "result_violations_all": f"""{_all("l_suppkey", "day(l_shipdate)")} SELECT * FROM bad UNION ALL SELECT DISTINCT site, period, 'period not requested' FROM v WHERE period NOT IN (2, 3, 4)

@@ -15,8 +15,8 @@ from .views import table
 
 
 def _framed(spark: SparkSession, sf: str, lines: str = "") -> DataFrame:
-    """Top pages behind a heading and before an end: a fifth without either, another with two headings."""
-    docs = pages(spark, sf).filter("doc % 2 = 0")
+    """Pages behind a heading and before an end: a fifth without either, another with two headings."""
+    docs = pages(spark, sf)
     head = F.when(F.col("doc") % 5 == 1, "").when(F.col("doc") % 5 == 2, "== 绝杀十码 ==\n== 绝杀十码 ==\n").otherwise("== 绝杀十码 ==\n")
     end = F.when(F.col("doc") % 5 == 3, "").otherwise("\n-- end --")
     return docs.withColumns({"content": F.concat(F.lit("intro\n"), head, "content", end), "anchor": F.lit("== 绝杀十码 =="), "stop_anchor": F.lit("-- end --")})
@@ -29,7 +29,7 @@ def _ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf: str) -> DataFrame:
-    docs = pages(spark, sf).filter("doc % 2 = 0")
+    docs = pages(spark, sf)
     gap = F.repeat(F.lit("."), F.when(F.col("doc") % 3 == 0, F.lit(700)).otherwise(F.lit(50)))
     content = F.concat(F.when(F.col("doc") % 7 == 1, "").otherwise("The Title"), gap, F.lit("Author\n"), "content")
     return s.article_history_window(docs.withColumns({"content": content, "title": F.lit("The Title"), "author": F.lit("Author")}))
@@ -37,7 +37,7 @@ def _history(spark: SparkSession, sf: str) -> DataFrame:
 
 def _suggested(spark: SparkSession, sf: str) -> DataFrame:
     """The site's name stands before the first row (or not), or without its first character."""
-    docs = pages(spark, sf).filter("doc % 2 = 0")
+    docs = pages(spark, sf)
     name = F.when(F.col("doc") % 3 == 0, "屠龙刀").when(F.col("doc") % 3 == 1, "龙刀").otherwise("x")
     return s.anchor_suggestions(docs.withColumns({"content": F.concat(name, F.lit("\n"), "content"), "site_name": F.lit("屠龙刀")}))
 
@@ -95,8 +95,8 @@ QUERIES = {
 }
 
 _NONE = "CAST(NULL AS INTEGER) AS period, CAST(NULL AS VARCHAR) AS value"
-_GOOD = "SELECT site AS doc, period, value, CAST(NULL AS VARCHAR) AS problem FROM w WHERE nth <= 5 AND site % 2 = 0"
-_SITES = "(SELECT DISTINCT site FROM l WHERE site % 2 = 0)"
+_GOOD = "SELECT site AS doc, period, value, CAST(NULL AS VARCHAR) AS problem FROM w WHERE nth <= 5"
+_SITES = "(SELECT DISTINCT site FROM l)"
 
 
 def _with_problems(cases: str, bad: str) -> str:
@@ -109,7 +109,7 @@ ORACLES = {
     "heading_section": _with_problems("site % 5 WHEN 1 THEN 'no heading' WHEN 2 THEN 'several headings' ELSE 'no stop' END", "site % 5 IN (1, 2, 3)").replace("END END", "END"),
     "id_section": _with_problems("WHEN true THEN 'end id'", "site % 5 = 4"),
     "article_history_window": _with_problems("WHEN site % 7 = 1 THEN 'no title' ELSE 'title too far'", "site % 7 = 1 OR site % 3 = 0"),
-    "anchor_suggestions": f"{_R} SELECT DISTINCT site AS doc, unnest(CASE site % 3 WHEN 0 THEN ['屠龙刀', '龙刀', '屠龙'] ELSE ['龙刀'] END) AS anchor FROM w WHERE site % 2 = 0 AND site % 3 < 2",
+    "anchor_suggestions": f"{_R} SELECT DISTINCT site AS doc, unnest(CASE site % 3 WHEN 0 THEN ['屠龙刀', '龙刀', '屠龙'] ELSE ['龙刀'] END) AS anchor FROM w WHERE site % 3 < 2",
     "evidence_violations": f"""{_R}, e AS (SELECT site AS doc, period, a, printf('%03d', period) AS p FROM w WHERE nth <= 5)
 SELECT doc, period, 'altered' AS violation FROM e WHERE doc % 9 = 0 UNION ALL SELECT doc, period, 'another period' FROM e WHERE doc % 10 = 3 AND period < 10 AND false UNION ALL SELECT doc, period, 'another period' FROM e WHERE doc % 10 = 3 AND period >= 100""",
     "identity_violations": "SELECT c_custkey AS site, c_name || '!' AS name, c_name AS own_name FROM customer WHERE c_custkey % 9 = 0",
