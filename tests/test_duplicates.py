@@ -64,3 +64,19 @@ def test_incomplete_never_claims_clean(spark):
     problem = spark.createDataFrame([("k", "n", "u", "", "r")], "kind string, name string, url string, region string, reason string")
     assert d.conclusion(none, problem).first().conclusion == "incomplete"
     assert d.conclusion(none, problem.limit(0)).first().conclusion == "clean"
+
+
+def test_urls_are_found_by_names_that_contain_each_other(spark):
+    rng = random.Random(8)
+    text = lambda most: "".join(rng.choices("ab甲", k=rng.randint(0, most)))
+    registry = [(text(12), f"u{i}") for i in range(60)] + [("longer name of a site", "x"), ("", "y")]
+    names = sorted({text(6) for _ in range(80)} | {"name of a", "the longer name of a site", "nothing like it"})
+    want = {}
+    for n in names:
+        same = [u for t, u in registry if t == n]
+        near = [u for t, u in registry if n and t and (t in n or n in t)]
+        want[n] = same[0] if len(same) == 1 else near[0] if len(near) == 1 else ""
+    frame = spark.createDataFrame(registry, "site_name string, site_url string")
+    got = d.resolve_urls(spark.createDataFrame([(n,) for n in names], "name string"), frame)
+    assert {r.name: r.url for r in got.collect()} == want
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()

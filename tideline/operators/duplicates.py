@@ -152,15 +152,44 @@ def no_common_period_pairs(records: DataFrame) -> DataFrame:
     return pairs.select(low["site_name"].alias("name_a"), low["site_url"].alias("url_a"), high["site_name"].alias("name_b"), high["site_url"].alias("url_b"))
 
 
+#: Lengths of the substrings by which names meet texts that contain them.
+PIECES = (8, 4, 2, 1)
+
+
+def _pieces(text: Column) -> Column:
+    """The distinct substrings of a text of the lengths of PIECES."""
+    at = F.sequence(F.lit(1), F.length(text))
+    return F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(*[F.substring(text, i, n) for n in PIECES]))))
+
+
+def _beginning(text: Column) -> Column:
+    """The longest piece that a text begins with: a text that contains it has that piece too."""
+    out = F.lit(None).cast("string")
+    for n in reversed(PIECES):
+        out = F.when(F.length(text) >= n, F.substring(text, 1, n)).otherwise(out)
+    return out
+
+
+def containing_pairs(short: DataFrame, long: DataFrame) -> DataFrame:
+    """Pairs of ``short(inner)`` and ``long(outer)``, not empty, where the outer text contains the inner one: an equality
+    join on the inner text's beginning, then the test."""
+    keyed = short.filter("inner <> ''").withColumn("piece", _beginning(F.col("inner")))
+    held = long.filter("outer <> ''").select("outer", F.explode(_pieces(F.col("outer"))).alias("piece"))
+    return keyed.join(held, "piece").filter(F.contains("outer", "inner")).select("inner", "outer").distinct()
+
+
 def resolve_urls(names: DataFrame, registry: DataFrame) -> DataFrame:
     """``names(name)`` with the URL of the registry's site of that name: one exact match, else one that contains the name
-    or is contained in it, else ''."""
+    or is contained in it, else ''. Null names give no row of a match."""
     own = registry.select(F.col("site_name").alias("target"), F.col("site_url").alias("url"))
     wanted = names.select("name").distinct()
     exact = wanted.join(own, F.col("name") == F.col("target")).groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.max("url").alias("url")).filter("n = 1").select("name", "url")
-    rest = wanted.join(exact, "name", "left_anti").filter("name <> ''")
-    near = (F.contains("target", "name") | F.contains("name", "target")) & (F.col("target") != "")
-    fuzzy = rest.join(own, near).groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.max("url").alias("url")).filter("n = 1").select("name", "url")
+    rest = wanted.join(exact, "name", "left_anti").filter("name <> ''").select("name")
+    targets = own.select("target").distinct()
+    above = containing_pairs(rest.select(F.col("name").alias("inner")), targets.select(F.col("target").alias("outer"))).select(F.col("inner").alias("name"), F.col("outer").alias("target"))
+    below = containing_pairs(targets.select(F.col("target").alias("inner")), rest.select(F.col("name").alias("outer"))).select(F.col("outer").alias("name"), F.col("inner").alias("target"))
+    near = above.unionByName(below).distinct()
+    fuzzy = near.join(own, "target").groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.max("url").alias("url")).filter("n = 1").select("name", "url")
     found = exact.unionByName(fuzzy)
     return wanted.join(found, "name", "left").select("name", F.coalesce("url", F.lit("")).alias("url"))
 

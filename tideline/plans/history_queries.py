@@ -45,7 +45,11 @@ def _updated(spark: SparkSession, sf: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, sf: str) -> DataFrame:
     """The same history and round as ``merge_round`` with retention, as a stream of files."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"file://{tempfile.gettempdir()}"
     at = f"{base}/tideline-{uuid.uuid4().hex}"
     _history(spark, sf).write.parquet(f"{at}/history/version=-1")
     h.as_states(*_round(spark, sf)).coalesce(2).write.parquet(f"{at}/rounds")
