@@ -72,3 +72,17 @@ def test_success_gate_is_strict(spark):
     rows = spark.range(100)
     assert not success_rate_gate(rows.select((F.col("id") < 80).alias("ok"))).first().open
     assert success_rate_gate(rows.select((F.col("id") < 81).alias("ok"))).first().open
+
+
+def test_a_streamed_round_is_expanded_or_refused(spark, tmp_path):
+    row = lambda site, period, state, value=None, reason=None: (site, "u", period, state, value, reason)
+    fields = "site_name string, site_url string, period int, state string, value string, reason string"
+    batch = lambda *rows: spark.createDataFrame(rows, fields)
+    at = f"file://{tmp_path}/history"
+    rounds.apply_round(batch(row("a", 1, "success", "01"), row("b", None, "failed", reason=" ")), 0, at, requested=[1, 2])
+    found = {(r.site_name, r.period, r.state, r.value) for r in rounds.latest_history(spark, at).collect()}
+    assert found == {("a", 1, "success", "01"), ("b", 1, "failed", None), ("b", 2, "failed", None)}
+    for wrong in ((row("a", 2, "success", "01"), row("a", 2, "failed", reason="x")), (row("a", 9, "success", "01"),), (row("a", 2, "success", " "),)):
+        with pytest.raises(ValueError, match="refused"):
+            rounds.apply_round(batch(*wrong), 1, at, requested=[1, 2])
+    assert {(r.site_name, r.period, r.state, r.value) for r in rounds.latest_history(spark, at).collect()} == found
