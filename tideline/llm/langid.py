@@ -4,7 +4,7 @@ Words of lower-cased letters, set between blanks, are the model's sentences: a c
 before it, never across a word's start. Spark counts n-grams of all training texts and derives the Kneser-Ney
 probabilities; they are looked up in sorted arrays of n-gram hashes, all languages at once, or where those are too many
 for one machine, joined to the corpus's distinct n-grams and words. A text gets the language of the lowest cross-entropy
-per character, and is rejected where that lies beyond what training texts of its length show.
+per character, and is rejected where that lies beyond what texts of its length show that were set aside from training.
 """
 
 from __future__ import annotations
@@ -31,8 +31,10 @@ MAX_GRAMS = 2_000_000
 MANY_LANGS = 8
 #: Words whose scores go to the tasks whole when the model stays in tables: the most frequent.
 FREQUENT_WORDS = 100_000
-#: Rejection: beyond this quantile of the training texts of about the same length, and a margin.
+#: Rejection: beyond this quantile of the calibration texts of about the same length, and a margin.
 QUANTILE, MARGIN = 0.999, 1.5
+#: One in so many training texts, drawn by its text, is not counted but calibrates the rejection.
+CALIBRATION = 10
 UNDETERMINED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -332,12 +334,12 @@ def _partly_scored(shared, name: str, langs: int):
     return run
 
 
-_KEYS = "doc_id long, text_hash long, learned boolean, given string"
+_KEYS = "doc_id long, text_hash long, calibrates boolean, given string"
 _SCORED = f"{_KEYS}, lang_pred string, score double, bits double, chars long"
 
 
 def scored_by_tables(rows: DataFrame, counts: DataFrame, frequent: int = FREQUENT_WORDS) -> DataFrame:
-    """What ``Scorer`` says of ``rows(doc_id, text_hash, learned, given, text)``, with a model of any size: distinct words
+    """What ``Scorer`` says of ``rows(doc_id, text_hash, calibrates, given, text)``, with a model of any size: distinct words
     are scored in joins, the ``frequent`` most frequent go to the tasks, and the texts' other words are joined."""
     spark = rows.sparkSession
     levels = kneser_ney(counts)
@@ -350,7 +352,7 @@ def scored_by_tables(rows: DataFrame, counts: DataFrame, frequent: int = FREQUEN
     matrix = common.column("scores").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs))
     shared = spark.sparkContext.broadcast((common.column("word").to_pylist(), matrix))
     fields = f"{_KEYS}, row long, chars long, scores array<double>, rest array<struct<word:string,n:long>>"
-    numbered = rows.select("doc_id", "text_hash", "learned", "given", F.monotonically_increasing_id().alias("row"), "text")
+    numbered = rows.select("doc_id", "text_hash", "calibrates", "given", F.monotonically_increasing_id().alias("row"), "text")
     partly = written(numbered.mapInArrow(_partly_scored(shared, uuid.uuid4().hex, len(langs)), fields), "partly")
     rest = partly.select("row", F.explode("rest").alias("w")).select("row", "w.word", "w.n").join(scores.select("word", F.col("scores").alias("own")), "word")
     more = rest.groupBy("row").agg(F.array(*[F.sum(F.col("own")[i] * F.col("n")) for i in range(len(langs))]).alias("more"))
@@ -359,24 +361,26 @@ def scored_by_tables(rows: DataFrame, counts: DataFrame, frequent: int = FREQUEN
     bits = both.withColumn("all", F.when(F.col("chars") > 0, total)).withColumn("bits", F.array_min("all"))
     share = F.aggregate("all", F.lit(0.0), lambda a, b: a + F.pow(F.lit(2.0), (F.col("bits") - b) * F.least("chars", F.lit(64))))
     lang = F.get(F.array(*[F.lit(x) for x in langs]), (F.array_position("all", F.col("bits")) - 1).cast("int"))
-    return bits.select("doc_id", "text_hash", "learned", "given", F.coalesce(lang, F.lit(UNDETERMINED)).alias("lang_pred"), F.coalesce(1.0 / share, F.lit(0.0)).alias("score"), "bits", "chars")
+    return bits.select("doc_id", "text_hash", "calibrates", "given", F.coalesce(lang, F.lit(UNDETERMINED)).alias("lang_pred"), F.coalesce(1.0 / share, F.lit(0.0)).alias("score"), "bits", "chars")
 
 
 def identify(docs: DataFrame, learn: Column, lang: str = "lang", max_grams: int = MAX_GRAMS) -> DataFrame:
     """Every row of ``docs(doc_id, text, lang, ...)`` as doc_id, text_hash, lang_pred, score, rejected.
 
-    The model learns from rows where ``learn`` holds and text and ``lang`` aren't null, from all their n-grams; a
-    prediction sees the text alone. lang_pred is ``und`` with score 0 for null texts and texts without a letter, and for
+    The model learns from rows where ``learn`` holds and text and ``lang`` aren't null: from all n-grams of nine in ten
+    texts, while the tenth, which it hasn't seen, says how high a cross-entropy is usual. A prediction sees the text alone.
+    Where no text calibrates, nothing is rejected but texts without a letter. lang_pred is ``und`` with score 0 for null texts and texts without a letter, and for
     all where nothing was learned; those are rejected too. Equal texts get equal predictions. A model of more than
     ``max_grams`` n-grams stays in tables, which changes no result but in rounding.
     """
     spark = docs.sparkSession
-    counts = written(gram_counts(docs.filter(learn).select(F.col(lang).alias("lang"), "text")), "grams")
+    aside = F.pmod(F.xxhash64("text"), F.lit(CALIBRATION)) == 0
+    counts = written(gram_counts(docs.filter(learn & ~aside).select(F.col(lang).alias("lang"), "text")), "grams")
     python_ready(spark)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("text_hash"),
-        F.coalesce(learn & F.col(lang).isNotNull(), F.lit(False)).alias("learned"),
+        F.coalesce(learn & aside & F.col(lang).isNotNull(), F.lit(False)).alias("calibrates"),
         F.col(lang).cast("string").alias("given"),
         F.col("text").cast("string").alias("text"),
     )
@@ -388,7 +392,7 @@ def identify(docs: DataFrame, learn: Column, lang: str = "lang", max_grams: int
         found = scored_by_tables(rows, counts)
     scored = written(found, "scored")
     length = F.floor(F.log2(F.col("chars").cast("double"))).cast("int")
-    right = scored.filter("learned and bits is not null and lang_pred = given")
+    right = scored.filter("calibrates and bits is not null and lang_pred = given")
     # At most 63 sizes, so both frames are tiny whatever the corpus.
     usual = right.groupBy(length.alias("size")).agg(F.percentile_approx("bits", QUANTILE, 10_000).alias("usual"))
     overall = right.agg(F.percentile_approx("bits", QUANTILE, 10_000).alias("overall")).first()["overall"]
