@@ -24,6 +24,8 @@ DATA_BLOCK, QUERY_BLOCK = 8192, 2048
 #: Longest vectors that every query meets first, for a first bound.
 HEAD = 1024
 STRIPE = 512
+#: Pairs of a stripe are scored as a whole where more than one in so many is left.
+DENSE = 20
 
 
 def quantised(vectors: DataFrame, vector: str, scale: int = 256) -> DataFrame:
@@ -121,11 +123,24 @@ def search_block(queries: pd.DataFrame, data: pd.DataFrame, turn: np.ndarray, k:
         partial = q_turned[live, :first] @ d_turned[at, :first].T
         may = partial + q_rest[live][:, None] * d_rest[at][None, :] + slack[live][:, None] >= need[live][:, None]
         may &= q_ids[live][:, None] != d_ids[at][None, :]
-        qi, di = np.nonzero(may)
-        qi, di = live[qi], di + lo
-        if len(qi):
-            scored += len(qi)
+        count = int(may.sum())
+        if not count:
+            continue
+        scored += count
+        if exact and count * DENSE > may.size:
+            # Where many pairs are left, one product of matrices is cheaper than the pairs one by one.
+            full = q[live] @ d[at].T
+            may &= full >= need[live][:, None]
+            qi, di = np.nonzero(may)
+            score = full[qi, di]
+            qi, di = live[qi], di + lo
+        else:
+            qi, di = np.nonzero(may)
+            qi, di = live[qi], di + lo
             score = np.einsum("ij,ij->i", q[qi], d[di]) if exact else np.einsum("ij,ij->i", q[qi].astype(np.int64), d[di].astype(np.int64))
+            enter = score >= need[qi]
+            qi, di, score = qi[enter], di[enter], score[enter]
+        if len(qi):
             best.add(qi, d_ids[di], score.astype(np.int64))
     return best, q_ids, scored
 
