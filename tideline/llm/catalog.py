@@ -10,6 +10,7 @@ from .licenses import OP5_SQL, op5_license_scan
 from .lines import OP2_SQL, op2_line_dedup
 from .near_dup import op1_near_dedup
 from .packing import op6_best_fit_packing
+from .periodic import op11_periodic_runs
 from .sharding import op4_sharding
 from .substrings import op10_substring_dedup
 from .topk import OP7_SQL, op7_exact_topk
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
