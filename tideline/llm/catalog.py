@@ -11,6 +11,7 @@ from .lines import OP2_SQL, op2_line_dedup
 from .near_dup import op1_near_dedup
 from .packing import op6_best_fit_packing
 from .periodic import op11_periodic_runs
+from .pii import OP13_SQL, op13_pii
 from .sharding import op4_sharding
 from .substrings import op10_substring_dedup
 from .topk import OP7_SQL, op7_exact_topk
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_pii": op13_pii,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -35,4 +37,5 @@ ORACLES = {
     "op3_warc": OP3_SQL,
     "op5_license_scan": OP5_SQL,
     "op7_exact_topk": OP7_SQL,
+    "op13_pii": OP13_SQL,
 }
