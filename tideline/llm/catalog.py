@@ -13,6 +13,7 @@ from .packing import op6_best_fit_packing
 from .periodic import op11_periodic_runs
 from .pii import OP13_SQL, op13_pii
 from .sharding import op4_sharding
+from .spelling import op12_spelling_variants
 from .substrings import op10_substring_dedup
 from .topk import OP7_SQL, op7_exact_topk
 from .warc import OP3_SQL, op3_warc
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_pii": op13_pii,
     "pipeline": corpus_pipeline.run,
 }
