@@ -156,17 +156,41 @@ def _block_search(turn: np.ndarray, k: int, first: int):
     return run
 
 
-def _blocks(rows: DataFrame, size: str, wanted: int, most: int) -> DataFrame:
-    """``rows`` with ``block``: numbered by descending ``size``, about ``most`` rows each. Blocks are cut at quantiles of
-    the size, and by hash where one holds too many (many equal sizes)."""
-    edges = sorted(set(rows.approxQuantile(size, [i / wanted for i in range(1, wanted)], 0.1 / wanted)), reverse=True) if wanted > 1 else []
-    # As a loop over one array, for as many edges as there are blocks.
-    layered = rows.withColumn("layer", F.size(F.filter(F.lit(edges), lambda e: F.col(size) < e)) if edges else F.lit(0))
-    parts = layered.groupBy("layer").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
-    # One row for each layer: about as many rows as there are blocks.
-    before = Window.orderBy("layer").rowsBetween(Window.unboundedPreceding, -1)
-    parts = written(parts.withColumn("from", F.coalesce(F.sum("parts").over(before), F.lit(0))), "layers")
-    return layered.join(parts, "layer").withColumn("block", (F.col("from") + F.pmod(F.xxhash64("vec_id"), "parts")).cast("int")).drop("layer", "parts", "from")
+def _blocks(rows: DataFrame, size: str, wanted: int, name: str) -> DataFrame:
+    """``rows`` with ``block``, written: ``wanted`` blocks or more of about equal numbers of rows, cut by descending
+    ``size``, and by hash among rows of one size. A block is a range partition, whose number is stored with its rows."""
+    return written(rows.repartitionByRange(wanted, F.desc(size), F.xxhash64("vec_id")).withColumn("block", F.spark_partition_id()), name)
+
+
+def _streamed(turn: np.ndarray, k: int, first: int):
+    """Rows of blocks in order, those of a block's vectors before those of the queries that want it: a task holds one
+    block and so many queries at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def searched() -> pa.RecordBatch:
+            best, q_ids, _ = search_block(pd.concat(asked), pd.concat(block), turn, k, first)
+            qi, nth = np.nonzero(best.score > _Best.NONE)
+            return pa.RecordBatch.from_arrays([pa.array(q_ids[qi]), pa.array(best.ids[qi, nth]), pa.array(best.score[qi, nth])], names=["query_id", "vec_id", "score"])
+
+        now, block, asked = None, [], []
+        for batch in batches:
+            rows = batch.to_pandas()
+            at, is_query = rows["at"].to_numpy(), rows["is_query"].to_numpy()
+            edges = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (is_query[1:] != is_query[:-1]))) if len(rows) else []
+            for lo, hi in zip(edges, [*edges[1:], len(rows)], strict=True):
+                if at[lo] != now:
+                    if asked:
+                        yield searched()
+                    now, block, asked = at[lo], [], []
+                for part in range(lo, hi, QUERY_BLOCK):
+                    (asked if is_query[lo] else block).append(rows.iloc[part : min(hi, part + QUERY_BLOCK)])
+                    if sum(map(len, asked)) >= QUERY_BLOCK:
+                        yield searched()
+                        asked = []
+        if asked:
+            yield searched()
+
+    return run
 
 
 def top_inner_products(vectors: DataFrame, vector: str, is_query: Column, k: int = 5, scale: int = 256, first: int | None = None) -> DataFrame:
@@ -176,8 +200,8 @@ def top_inner_products(vectors: DataFrame, vector: str, is_query: Column, k: int
     fewer than k others get all. Ties go to the smaller vec_id. Other columns are not read.
 
     The longest vectors give every query a first bound; by Cauchy-Schwarz that says how long a vector must be to matter
-    to it. Data blocks are cut by length and query blocks by that least length, so a query block is sent to the longest
-    data blocks only, and a data block only to query blocks that may want it. No block grows with the data.
+    to it. Data blocks are cut by length and stay where they are; queries, in blocks by that least length, are copied to
+    the longest data blocks, as many as may matter. No block grows with the data.
     """
     spark = vectors.sparkSession
     python_ready(spark)
@@ -198,19 +222,21 @@ def top_inner_products(vectors: DataFrame, vector: str, is_query: Column, k: int
     # The least length of a vector that can reach the bound, a little less for rounding.
     least = F.coalesce(F.greatest((F.col("floor") * (1 - 1e-9) - 1e-6) / F.col("norm"), F.lit(0.0)), F.lit(0.0))
     bounded = written(queries.join(floors, "vec_id", "left").withColumn("least", F.when(F.col("norm") > 0, least).otherwise(0.0)), "bounded")
-    asked = written(_blocks(bounded, "least", query_blocks, QUERY_BLOCK).withColumnRenamed("block", "qb"), "queries")
-    data = written(_blocks(rows, "norm", data_blocks, DATA_BLOCK), "data")
+    asked = _blocks(bounded, "least", query_blocks, "queries").withColumnRenamed("block", "qb")
+    data = _blocks(rows, "norm", data_blocks, "data")
     # One number for each block on the driver: the longest vector of a data block, the least need of a query block.
     longest = dict(data.groupBy("block").agg(F.max("norm")).collect())
     needs = dict(asked.groupBy("qb").agg(F.min("least")).collect())
-    by_length, by_need = sorted(longest, key=lambda b: -longest[b]), sorted(needs, key=needs.get)
-    lengths, wants = np.array([-longest[b] for b in by_length]), np.array([needs[q] for q in by_need])
-    # Blocks in those orders: what a block meets is a run from the first.
-    met = spark.createDataFrame([(q, i, int(np.searchsorted(lengths, -needs[q], "right"))) for i, q in enumerate(by_need)], "qb int, q_at int, data_met int")
-    meets = spark.createDataFrame([(b, i, int(np.searchsorted(wants, longest[b], "right"))) for i, b in enumerate(by_length)], "block int, d_at int, asked_by int")
-    left = asked.join(met, "qb").filter("data_met > 0").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("data_met") - 1))).select("vec_id", "v", "norm", "floor", "q_at", "other")
-    right = data.join(meets, "block").filter("asked_by > 0").select(F.col("vec_id").alias("vec_id"), F.col("v").alias("v"), F.col("norm").alias("norm"), F.col("d_at").alias("d_at"), F.explode(F.sequence(F.lit(0), F.col("asked_by") - 1)).alias("q_other"))
-    found = left.groupBy("q_at", "other").cogroup(right.groupBy("q_other", "d_at")).applyInPandas(search, schema)
+    by_length = sorted(longest, key=lambda b: -longest[b])
+    lengths = np.array([-longest[b] for b in by_length])
+    # In order of length, the blocks that queries meet are a run from the first.
+    met = spark.createDataFrame([(q, int(np.searchsorted(lengths, -need, "right"))) for q, need in needs.items()], "qb int, met int")
+    order = spark.createDataFrame([(b, i) for i, b in enumerate(by_length)], "block int, at int")
+    fields = ["at", "is_query", "vec_id", "v", "norm", "floor"]
+    copies = asked.join(met, "qb").filter("met > 0").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("met") - 1))).withColumn("is_query", F.lit(True))
+    blocks = data.join(order, "block").withColumns({"is_query": F.lit(False), "floor": F.lit(None).cast("long")})
+    dealt = blocks.select(fields).unionByName(copies.select(fields)).repartition(len(by_length), "at")
+    found = dealt.sortWithinPartitions("at", "is_query").mapInArrow(_streamed(turn, k, first), schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
