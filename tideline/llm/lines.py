@@ -78,7 +78,8 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     cuts = per_line.groupBy(F.col("doc_id").alias("cut_doc"), F.col("text_hash").alias("cut_hash")).agg(F.flatten(F.collect_list(dropped)).alias("cut"))
     rows = without(docs, "removed_lines").select(F.struct("*").alias("doc"), "doc_id", "text", F.xxhash64("text").alias("text_hash"))
     joined = rows.join(cuts, F.col("doc_id").eqNullSafe(F.col("cut_doc")) & (F.col("text_hash") == F.col("cut_hash")), "left")
-    kept = F.expr("array_join(filter(split(text, '\n'), (l, i) -> not array_contains(cut, i)), '\n')")
+    # Lines are split once (as the variable of a lambda) and places compared by hash, so the work grows with the lines.
+    kept = F.expr("transform(array(split(text, '\n')), lines -> array_join(transform(array_except(sequence(0, size(lines) - 1), cut), i -> lines[i]), '\n'))[0]")
     fields = {c: F.col(f"doc.`{c}`") for c in docs.columns if c.lower() != "removed_lines"}
     fields["text"] = F.when(F.size(F.coalesce("cut", F.array())) > 0, kept).otherwise(F.col("text"))
     return joined.select(*[v.alias(k) for k, v in fields.items()], F.size(F.coalesce("cut", F.array())).alias("removed_lines"))
