@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +25,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 RECORD_URN = "urn:x-page:"
 #: What every record of every version begins with; archives are cut there.
 VERSION = "WARC/"
+#: Names of files that Spark reads in one piece.
+UNSPLIT = r"\.(gz|gzip|deflate|snappy|lz4|zst)$"
 
 
 def resolve_originals(headers: DataFrame, min_bytes: int = 1000) -> DataFrame:
@@ -142,12 +146,14 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([heads, pa.array([b for _, b in found], pa.binary())], names=["fields", "block"])
 
     found, size = [], 0
-    for record in parse_records(x for batch in batches for x in batch.column(0).to_pylist()):
-        found.append(record)
-        size += len(record[1])
-        if size > 4 << 20:
-            yield rows(found)
-            found, size = [], 0
+    pieces = (x for batch in batches for x in zip(*batch.to_pydict().values(), strict=True))
+    for _, of_file in groupby(pieces, key=itemgetter(1)):
+        for record in parse_records(value for value, _ in of_file):
+            found.append(record)
+            size += len(record[1])
+            if size > 4 << 20:
+                yield rows(found)
+                found, size = [], 0
     yield rows(found)
 
 
@@ -155,12 +161,18 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the WARC files (plain or gzip, one stream or one for each record, any version) at ``path``: fields
     (header names in lower case -> value) and block (binary).
 
-    A gzip file is one task's, a plain one is split between records. Tasks hold a record at a time. A file that ends
-    within a record fails the job.
+    A file is one task's, since only what stands before says whether a version line begins a record or is part of a
+    payload: gzip files are read by one, the pieces of a plain file, which several tasks read, are sorted back together.
+    Tasks hold a record at a time. A file that ends within a record fails the job.
     """
     python_ready(spark)
-    pieces = spark.read.option("lineSep", VERSION).text(path).select(F.col("value").cast("binary"))
-    return pieces.mapInArrow(_parsed, "fields map<string,string>, block binary")
+    pieces, fields = spark.read.option("lineSep", VERSION).text(path), "fields map<string,string>, block binary"
+    whole = F.col("_metadata.file_name").rlike(UNSPLIT)
+    value = F.col("value").cast("binary").alias("value")
+    packed = pieces.filter(whole).select(value, F.col("_metadata.file_path").alias("file"))
+    plain = pieces.filter(~whole).select(value, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begins"), F.monotonically_increasing_id().alias("nth"))
+    plain = plain.repartition("file").sortWithinPartitions("file", "begins", "nth").select("value", "file")
+    return packed.mapInArrow(_parsed, fields).unionByName(plain.mapInArrow(_parsed, fields))
 
 
 def _hex_digest(digest: Column) -> Column:
