@@ -28,8 +28,6 @@ CAPACITY = 4096
 END = 1
 #: Pieces that one task packs at a time.
 PART_PIECES = 40_000
-#: A round over several parts has to save one in so many of the sequences it takes up, or it is the last.
-LEAST_SAVING = 1000
 
 
 class Tokenizer:
@@ -250,8 +248,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
 
     ``pieces`` must hold lengths from 1 to capacity. Tasks hold at most about ``part_pieces`` pieces whatever the data
     look like: pieces, and later released sequences, are dealt evenly by number, not by any key. Rounds go on until the
-    number of sequences meets the bound of all pieces, or a round saves nothing or, while there are several parts, less
-    than one in LEAST_SAVING of the sequences it took up. An empty table gives an empty result.
+    number of sequences meets the bound of all pieces or a round saves nothing. An empty table gives an empty result.
     """
     python_ready(pieces.sparkSession)
     pieces = written(pieces.withColumn("pid", F.monotonically_increasing_id()), "pieces")
@@ -267,7 +264,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
         count = {r["released"]: r["n"] for r in state.filter("offset = 0").groupBy("released").agg(F.count(F.lit(1)).alias("n")).collect()}
         packed = sum(count.values())
         saved = None if taken is None else taken - packed
-        last = settled + packed <= bound or not count.get(True) or (saved is not None and saved * LEAST_SAVING < (taken if parts > 1 else 1))
+        last = settled + packed <= bound or not count.get(True) or (saved is not None and saved < 1)
         # turn, part and bin in one number.
         sequence = F.shiftleft(F.lit(turn).cast("long"), 56) + F.shiftleft("part", 32) + F.col("bin")
         done.append((state if last else state.filter("not released")).select("pid", sequence.alias("sequence_id"), "offset"))
