@@ -53,6 +53,22 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def rows_of(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` that have (left_semi) or lack (left_anti) their doc_id and text among ``found(doc_id,
+    text_hash)``, with two keys beside them: columns row (all of a row's), own_id and own_hash.
+
+    A row travels as one struct, so no name of its columns can clash.
+    """
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_hash"))
+    theirs = found.select(F.col("doc_id").alias("their_id"), F.col("text_hash").alias("their_hash"))
+    return rows.join(theirs, F.col("own_id").eqNullSafe(F.col("their_id")) & (F.col("own_hash") == F.col("their_hash")), how)
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of ``rows(row, ...)`` as they were."""
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import python_ready, small_or_shuffled, table
+from .common import python_ready, rows_of, small_or_shuffled, table, unpacked
 
 #: Edits allowed, in percent of an item's words.
 EDIT_PERCENT = 20
@@ -322,9 +322,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERC
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = EDIT_PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs`` without a passage of the benchmark, as they are."""
-    lost = small_or_shuffled(contaminated(docs, benchmark, percent, min_words).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct(), "leaks")
-    own = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
-    return docs.join(lost, own, "left_anti")
+    lost = small_or_shuffled(contaminated(docs, benchmark, percent, min_words).select("doc_id", "text_hash").distinct(), "leaks")
+    return unpacked(rows_of(docs, lost, "left_anti"), docs.columns)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import python_ready, small_or_shuffled, table, without, written
+from .common import python_ready, rows_of, small_or_shuffled, table, unpacked, without, written
 
 ORDER = 5
 #: Characters a language is taken to have besides those seen, for the uniform law under the unigrams.
@@ -42,8 +42,13 @@ _WORD_LIMIT = 40
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, lower case; very long runs (scripts without blanks) in pieces."""
+    """Runs of letters, lower case; very long runs (scripts without blanks) in pieces.
+
+    Numerals such as a half or a circled one are word characters to expressions, but no letters.
+    """
     found = _LETTERS.findall(text.lower())
+    if not all(map(str.isalpha, found)):
+        found = [part for w in found for part in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
     return [w[i : i + _WORD_LIMIT] for w in found for i in range(0, len(w), _WORD_LIMIT)] if max(map(len, found), default=0) > _WORD_LIMIT else found
 
 
@@ -403,9 +408,8 @@ def identify(docs: DataFrame, learn: Column, lang: str = "lang", max_grams: int
 
 def keep_identified(docs: DataFrame, learn: Column) -> DataFrame:
     """The rows of ``docs`` that ``identify`` doesn't reject, as they are."""
-    lost = small_or_shuffled(identify(docs, learn).filter("rejected").select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct(), "rejected")
-    own = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
-    return docs.join(lost, own, "left_anti")
+    lost = small_or_shuffled(identify(docs, learn).filter("rejected").select("doc_id", "text_hash").distinct(), "rejected")
+    return unpacked(rows_of(docs, lost, "left_anti"), docs.columns)
 
 
 def training_rows() -> Column:

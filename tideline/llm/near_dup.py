@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import python_ready, table, written
+from .common import python_ready, rows_of, table, unpacked, written
 from .components import connected_components
 
 #: A bucket is finished at once, by comparing its classes pairwise across components, if that is at most so many pairs
@@ -337,10 +337,8 @@ def drop_near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
 
     Of rows that repeat both doc_id and text, one stays.
     """
-    found = near_duplicates(docs, p).filter("kept").select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct()
-    rows = docs.withColumn("__text", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__hash"))
-    return rows.join(found, same, "left_semi").dropDuplicates(["doc_id", "__text"]).drop("__text")
+    found = near_duplicates(docs, p).filter("kept").select("doc_id", "text_hash").distinct()
+    return unpacked(rows_of(docs, found, "left_semi").dropDuplicates(["own_id", "own_hash"]), docs.columns)
 
 
 #: The contract of op1: 3-word shingles at 0.85.

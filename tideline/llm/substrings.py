@@ -125,19 +125,21 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 last = span["start"] + span["length"]
             # A cut may fall inside a character; what is left of it goes.
             out.append(b"".join([*kept, text[last:]]).decode("utf-8", "ignore"))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["__doc", "__hash", "__text"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["their_id", "their_hash", "their_text"])
 
 
 def remove_repeated_passages(docs: DataFrame, min_bytes: int = MIN_PASSAGE) -> DataFrame:
     """``docs`` without its repeated passages, and ``removed_bytes`` (long); other columns and rows stay as they are."""
-    spans = repeated_passages(docs, min_bytes).groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("spans"))
-    rows = without(docs, "removed_bytes").withColumn("__own", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__hash"))
-    some = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "__own", "text").join(spans, same).select("__doc", "__hash", "text", "spans").dropDuplicates(["__doc", "__hash"])
-    cut = some.mapInArrow(_cut, "__doc long, __hash long, __text string")
-    text = F.when(F.col("__hash").isNull(), F.col("text")).otherwise(F.col("__text"))
-    fields = [text.alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in rows.columns if c != "__own"]
-    return rows.join(cut, same, "left").select(*fields, F.coalesce(F.octet_length("text") - F.octet_length(text), F.lit(0)).cast("long").alias("removed_bytes"))
+    spans = repeated_passages(docs, min_bytes).groupBy(F.col("doc_id").alias("their_id"), F.col("text_hash").alias("their_hash")).agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("spans"))
+    rest = without(docs, "removed_bytes")
+    # A row travels as one struct, so no name of its columns can clash.
+    rows = rest.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_hash"), F.col("text").alias("own_text"))
+    same = F.col("own_id").eqNullSafe(F.col("their_id")) & (F.col("own_hash") == F.col("their_hash"))
+    some = rows.drop("row").join(spans, same).select("their_id", "their_hash", "own_text", "spans").dropDuplicates(["their_id", "their_hash"])
+    cut = some.mapInArrow(_cut, "their_id long, their_hash long, their_text string")
+    text = F.when(F.col("their_hash").isNull(), F.col("own_text")).otherwise(F.col("their_text"))
+    fields = [text.alias(c) if c.lower() == "text" else F.col(f"row.`{c}`").alias(c) for c in rest.columns]
+    return rows.join(cut, same, "left").select(*fields, F.coalesce(F.octet_length("own_text") - F.octet_length(text), F.lit(0)).cast("long").alias("removed_bytes"))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
