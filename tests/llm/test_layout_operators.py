@@ -212,3 +212,49 @@ def test_pipeline_keeps_columns_and_ends_in_sequences(spark):
         assert docs.dtypes == columns
     final = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
     assert final.select("doc_id").distinct().count() == docs.count() and 100 < docs.count() < 200
+
+
+def test_plain_archives_are_read_whole_by_any_splits(spark, tmp_path):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + foreign("1.0", [("WARC-Type", "response"), ("WARC-Record-ID", "<urn:inner>")], b"nested") * 3
+    for name in "ab":
+        (tmp_path / f"{name}.warc").write_bytes(b"".join(foreign("1.0", [("WARC-Type", "response"), ("WARC-Record-ID", f"<urn:{name}{i}>"), ("Content-Type", "application/http")], block) for i in range(60)))
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress((tmp_path / "a.warc").read_bytes()))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for c in before:
+            spark.conf.set(c, "100")  # far less than a record
+        got = read_archives(spark, f"file://{tmp_path}")
+        rows = got.collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert len(rows) == 180 and len({r.record_id for r in rows}) == 120 and {bytes(r.payload) for r in rows} == {block.partition(b"\r\n\r\n")[2]}
+
+
+def test_packing_goes_on_until_a_round_saves_nothing(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, 0, rng.randrange(1, 4097)) for i in range(200)]
+    names = []
+    monkeypatch.setattr(packing, "written", lambda df, name: names.append((name, out := written(df, name))) or out)
+    packed = packing.pack(spark.createDataFrame(rows, "doc_id long, piece int, length long"), part_pieces=9)
+    n = packed.select("sequence_id").distinct().count()
+    rounds = [df for name, df in names if name.startswith("round")]
+    sequences = lambda df, released: df.filter("offset = 0").filter("released" if released else "not released").count()
+    bound = packing.lower_bound(np.bincount([r[2] for r in rows], minlength=4097), 4096)
+    assert n == bound or sequences(rounds[-2], True) == sequences(rounds[-1], True) + sequences(rounds[-1], False) or not sequences(rounds[-1], True)
+
+
+def test_search_among_vectors_of_one_length(spark, monkeypatch):
+    import tideline.llm.topk as module
+
+    monkeypatch.setattr(module, "DATA_BLOCK", 40)
+    monkeypatch.setattr(module, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(module, "HEAD", 10)
+    rng = np.random.default_rng(6)
+    data = np.concatenate([rng.permuted(np.tile([3.0, -2.0, 1.0, 0.0], (400, 1)), axis=1), np.zeros((30, 4))])
+    v = np.floor(256 * data).astype(int)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(data)], "vec_id long, e array<double>").withColumn("at", F.lit(1))
+    got = defaultdict(list)
+    for r in top_inner_products(df, "e", F.col("vec_id") % 5 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert got == {q: [(-i, s) for s, i in sorted(((int(v[q] @ v[i]), -i) for i in range(430) if i != q), reverse=True)[:5]] for q in range(0, 430, 5)}
