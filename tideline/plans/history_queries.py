@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import history as h
-from ..streaming import rounds
+from ..streaming import keyed, rounds
 from .views import day_records, registry, sql, table
 
 SPLIT = 20
@@ -43,14 +43,19 @@ def _updated(spark: SparkSession, sf: str) -> DataFrame:
     return h.update(_history(spark, sf), good, bad, [SPLIT - 2, SPLIT - 1, *ROUND])
 
 
-def _streamed(spark: SparkSession, sf: str) -> DataFrame:
-    """The same history and round as ``merge_round`` with retention, as a stream of files."""
+def _shared(spark: SparkSession) -> str:
+    """A new path in the folder that all executors share."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = f"file://{tempfile.gettempdir()}"
-    at = f"{base}/tideline-{uuid.uuid4().hex}"
+    return f"{base}/tideline-{uuid.uuid4().hex}"
+
+
+def _streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same history and round as ``merge_round`` with retention, as a stream of files."""
+    at = _shared(spark)
     _history(spark, sf).write.parquet(f"{at}/history/version=-1")
     h.as_states(*_round(spark, sf)).coalesce(2).write.parquet(f"{at}/rounds")
     stream = spark.readStream.schema(rounds.SCHEMA).parquet(f"{at}/rounds")
@@ -58,6 +63,16 @@ def _streamed(spark: SparkSession, sf: str) -> DataFrame:
     return rounds.latest_history(spark, f"{at}/history")
 
 
+def _keyed(spark: SparkSession, sf: str) -> str:
+    """The same history and round, the history as the state of a stream: the folder of its changes and checkpoint."""
+    at = _shared(spark)
+    h.as_states(*_round(spark, sf)).coalesce(2).write.parquet(f"{at}/rounds")
+    stream = spark.readStream.schema(rounds.SCHEMA).parquet(f"{at}/rounds")
+    changes = keyed.site_changes(stream, _history(spark, sf), requested=[SPLIT - 2, SPLIT - 1, *ROUND])
+    keyed.start_site_updates(changes, f"{at}/changes", f"{at}/checkpoint").awaitTermination()
+    return at
+
+
 def _failures(spark: SparkSession, sf: str) -> DataFrame:
     rows = states(spark, sf).filter("state = 'failed' and period <= 3")
     return rows.select("site_name", "site_url", F.when(F.col("period") == 3, None).otherwise(F.col("period")).cast("int").alias("period"), F.when(F.col("period") == 2, "").otherwise(F.col("reason")).alias("reason"))
@@ -103,6 +118,8 @@ QUERIES = {
     "retain_last_10": lambda s, p: h.retain(_history(s, p), _history(s, p)),
     "update_history": _updated,
     "merge_round_stream": _streamed,
+    "site_history_stream": lambda s, p: keyed.site_history(s, f"{_keyed(s, p)}/checkpoint"),
+    "site_changes_stream": lambda s, p: s.read.schema(keyed.CHANGES).parquet(f"{_keyed(s, p)}/changes"),
     "round_violations": _broken_round,
     "contract_drift": lambda s, p: h.contract_drift(*_contracts(s, p)),
     "history_violations": lambda s, p: h.history_violations(states(s, p).unionByName(states(s, p).filter("period = 30 and state = 'success'").withColumn("value", F.lit("x"))), registry(s, p), 10),
@@ -143,6 +160,8 @@ SELECT site_name, site_url, CAST(unnest(CASE WHEN period = 3 THEN [1, 2, 3] ELSE
     "retain_last_10": sql(f"{_S} SELECT * FROM x WHERE period < 20 QUALIFY period > max(period) OVER (PARTITION BY site_name, site_url) - 10"),
     "update_history": _with_crc(_KEPT),
     "merge_round_stream": _with_crc(_KEPT),
+    "site_history_stream": _with_crc(_KEPT),
+    "site_changes_stream": _with_crc(f"SELECT * FROM ({_KEPT}) WHERE site_name IN (SELECT site_name FROM n)"),
     "round_violations": sql(f"""{_S},
 g AS (SELECT site_name, site_url, period, value FROM x WHERE state = 'success' AND period <= 4), g2 AS (SELECT * FROM g UNION ALL SELECT site_name, site_url, period, 'other' FROM g WHERE period = 2),
 b AS (SELECT site_name, site_url, period, reason FROM x WHERE state = 'failed' AND period <= 4 UNION ALL SELECT site_name, site_url, period, 'lost' FROM g WHERE period = 1 AND value = 'click'),

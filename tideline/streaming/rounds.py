@@ -36,10 +36,11 @@ def latest_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(versions[max(versions)]) if versions else spark.createDataFrame([], SCHEMA)
 
 
-def apply_round(batch: DataFrame, batch_id: int, path: str, n: int = 10, requested: list[int] | None = None) -> None:
+def apply_round(batch: DataFrame, batch_id: int, path: str, n: int = 10, requested: list[int] | None = None, registry: DataFrame | None = None) -> None:
     """Merge one micro-batch of states, as a round is merged: failures without a period count for every requested one (and
     for none where none are named), and a batch with anything that ``round_violations`` lists is refused as a whole, which
-    stops the stream and leaves the history as it was. Any partitioning of a batch gives the same version."""
+    stops the stream and leaves the history as it was; with a ``registry``, sites that it doesn't know or has disabled
+    are such a violation. Any partitioning of a batch gives the same version."""
     spark = batch.sparkSession
     versions = _versions(spark, path)
     if batch_id in versions:
@@ -48,7 +49,7 @@ def apply_round(batch: DataFrame, batch_id: int, path: str, n: int = 10, request
     old = spark.read.schema(SCHEMA).parquet(versions[max(before)]) if before else spark.createDataFrame([], SCHEMA)
     results = batch.filter("state = 'success'").select(*h.KEY, "value").distinct()
     failures = h.expand_failures(batch.filter("state = 'failed'").select(*h.KEY, "reason"), requested or []).distinct()
-    wrong = h.round_violations(results, failures, requested or [])
+    wrong = h.round_violations(results, failures, requested or [], registry)
     if requested is None:
         wrong = wrong.filter("violation <> 'period not requested'")
     first = wrong.orderBy(*h.KEY, "violation").first()
@@ -58,10 +59,10 @@ def apply_round(batch: DataFrame, batch_id: int, path: str, n: int = 10, request
     new.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
 
-def start_updates(rounds: DataFrame, path: str, checkpoint: str, n: int = 10, requested: list[int] | None = None) -> StreamingQuery:
+def start_updates(rounds: DataFrame, path: str, checkpoint: str, n: int = 10, requested: list[int] | None = None, registry: DataFrame | None = None) -> StreamingQuery:
     """Keep the history under ``path`` up to date with a stream of states; ends when all present input is taken in."""
     return (
-        rounds.writeStream.foreachBatch(lambda batch, batch_id: apply_round(batch, batch_id, path, n, requested))
+        rounds.writeStream.foreachBatch(lambda batch, batch_id: apply_round(batch, batch_id, path, n, requested, registry))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
