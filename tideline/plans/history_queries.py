@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import history as h
 from ..streaming import keyed, rounds
-from .views import day_records, registry, sql, table
+from .views import day_records, registry, shared_path, sql, table
 
 SPLIT = 20
 ROUND = [20, 21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 31]
@@ -43,19 +40,9 @@ def _updated(spark: SparkSession, sf: str) -> DataFrame:
     return h.update(_history(spark, sf), good, bad, [SPLIT - 2, SPLIT - 1, *ROUND])
 
 
-def _shared(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = f"file://{tempfile.gettempdir()}"
-    return f"{base}/tideline-{uuid.uuid4().hex}"
-
-
 def _streamed(spark: SparkSession, sf: str) -> DataFrame:
     """The same history and round as ``merge_round`` with retention, as a stream of files."""
-    at = _shared(spark)
+    at = shared_path(spark)
     _history(spark, sf).write.parquet(f"{at}/history/version=-1")
     h.as_states(*_round(spark, sf)).coalesce(2).write.parquet(f"{at}/rounds")
     stream = spark.readStream.schema(rounds.SCHEMA).parquet(f"{at}/rounds")
@@ -65,7 +52,7 @@ def _streamed(spark: SparkSession, sf: str) -> DataFrame:
 
 def _keyed(spark: SparkSession, sf: str) -> str:
     """The same history and round, the history as the state of a stream: the folder of its changes and checkpoint."""
-    at = _shared(spark)
+    at = shared_path(spark)
     h.as_states(*_round(spark, sf)).coalesce(2).write.parquet(f"{at}/rounds")
     stream = spark.readStream.schema(rounds.SCHEMA).parquet(f"{at}/rounds")
     changes = keyed.site_changes(stream, _history(spark, sf), requested=[SPLIT - 2, SPLIT - 1, *ROUND])

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..operators import reconcile as r
 from ..sources import landed as s
+from ..sources import sinks
 from .views import SQL as VIEWS
-from .views import day_records, registry, sql, table
+from .views import day_records, registry, shared_path, sql, table
 
 REQUESTED = [2, 3, 4]
 
@@ -109,7 +110,30 @@ def _round_trip(spark: SparkSession, sf: str) -> DataFrame:
 def _append(spark: SparkSession, sf: str) -> DataFrame:
     rows = day_records(spark, sf)
     one = lambda p: rows.filter(f"period = {p}").select(F.col("site_name").alias("name"), "value")
-    return s.append_results(one(1), one(2))
+    return s.append_results(one(1), one(2)).drop("stored")
+
+
+def _stored(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Two rounds of all days, written: the second repeats some lines, changes others and brings new ones, and is then
+    written once more."""
+    at = shared_path(spark)
+    rows = day_records(spark, sf).select(F.concat_ws("@", "site_name", "period").alias("name"), F.col("site_url").alias("url"), "value", "seq")
+    failed = rows.filter("value = 'error'").select("name", "url", F.concat(F.lit("timed out "), F.col("seq").cast("string")).alias("reason"))
+    changed = rows.withColumn("value", F.when(F.col("seq") % 5 == 0, F.concat("value", F.lit("!"))).otherwise(F.col("value")))
+    sinks.store_round(rows.filter("seq % 3 < 2"), failed, registry(spark, sf), at, "first")
+    conflicts = sinks.store_round(changed, failed.filter("seq % 2 = 0"), registry(spark, sf), at, "second")
+    sinks.store_round(changed, failed.filter("seq % 2 = 0"), registry(spark, sf), at, "second")
+    return at, conflicts
+
+
+def _stored_history(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    at = shared_path(spark)
+    bad = F.col("value") == "error"
+    rows = day_records(spark, sf).select("site_name", "site_url", "period", F.when(bad, "failed").otherwise("success").alias("state"), F.when(~bad, F.concat(F.lit('a"b\\c '), "value")).alias("value"), F.when(bad, "timed out").alias("reason"))
+    contracts = registry(spark, sf).select("site_name", "site_url", "ord", F.concat(F.lit('{"region": "'), "region", F.lit('", "b": '), F.col("ord").cast("string"), F.lit(', "a": true}')).alias("raw"))
+    sinks.write_history(rows, contracts, at, "one")
+    sinks.write_history(rows, contracts, at, "two")
+    return at, s.history_documents(rows, contracts)
 
 
 def _failed_runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,6 +207,11 @@ QUERIES = {
     "period_file_rejects": lambda x, p: _period_files(x, p)[1].select(F.regexp_extract("raw", "(site\\d+)", 1).alias("site_name"), F.regexp_extract("path", "(\\d+)期", 1).cast("int").alias("period")),
     "history_round_trip": _round_trip,
     "append_results": _append,
+    "stored_results": lambda x, p: sinks.stored_results(x, f"{_stored(x, p)[0]}/results"),
+    "stored_conflicts": lambda x, p: _stored(x, p)[1].select("name", "value", "stored"),
+    "stored_failures": lambda x, p: sinks.read_lines(x, f"{_stored(x, p)[0]}/failures").select(F.regexp_extract("value", r"^(\S+) ", 1).alias("name"), F.regexp_extract("value", r"\[(.*?)\]", 1).alias("category")),
+    "stored_history": lambda x, p: sinks.stored_history(x, _stored_history(x, p)[0]),
+    "history_documents": lambda x, p: _stored_history(x, p)[1].select("site_name", "id", "contract", "pick", "click_first", "failures", "latest", "fingerprint"),
     "failure_rows": lambda x, p: s.failure_rows(_failures(x, p), registry(x, p)),
     "failure_line_round_trip": lambda x, p: s.read_failure_lines(s.failure_lines(s.failure_rows(_failures(x, p), registry(x, p)).filter("url not like '%x'")).select(F.lit("f").alias("file"), F.crc32("value").alias("line_no"), "value")).select("name", "region", "url", "category", "reason"),
     "round_report": lambda x, p: s.round_report(_states(x, p).filter("ok"), _errors(x, p)),
@@ -248,6 +277,20 @@ FROM customer WHERE (c_custkey % 5 = 0) <> (c_custkey % 7 = 0) OR (c_custkey % 5
     "period_file_rejects": _x("SELECT site_name, period FROM r1 WHERE seq % 3 = 2"),
     "history_round_trip": _x("SELECT site_name, site_url, period, 'success' AS state, value FROM r1"),
     "append_results": _x("SELECT b.site_name AS name, b.value, CASE WHEN a.value IS NULL THEN 'append' WHEN a.value = b.value THEN 'noop' ELSE 'conflict' END AS action FROM r1 b LEFT JOIN r1 a ON a.site_name = b.site_name AND a.period = 1 WHERE b.period = 2"),
+    "stored_results": _x("""
+y AS (SELECT site_name || '@' || period AS name, value, seq FROM r1)
+SELECT name, value FROM y WHERE seq % 3 < 2 UNION ALL SELECT name, value || CASE WHEN seq % 5 = 0 THEN '!' ELSE '' END FROM y WHERE seq % 3 = 2"""),
+    "stored_conflicts": _x("SELECT site_name || '@' || period AS name, value || '!' AS value, value AS stored FROM r1 WHERE seq % 3 < 2 AND seq % 5 = 0"),
+    "stored_failures": _x("""
+SELECT site_name || '@' || period AS name, 'transient network' AS category FROM r1 WHERE value = 'error' AND seq % 2 = 0
+UNION ALL SELECT site_name || '@' || period, 'other' FROM r1 WHERE seq % 3 < 2 AND seq % 5 = 0"""),
+    "stored_history": _x("""SELECT site_name, site_url, period, CASE WHEN value = 'error' THEN 'failed' ELSE 'success' END AS state, CASE WHEN value <> 'error' THEN 'a"b' || chr(92) || 'c ' || value END AS value, CASE WHEN value = 'error' THEN 'timed out' END AS reason FROM r1"""),
+    "history_documents": _x("""
+y AS (SELECT *, row_number() OVER (ORDER BY ord, site_name) AS place FROM reg)
+SELECT site_name, printf('s%03d_', any_value(place)) || site_name AS id, sha256('{"a":true,"b":' || any_value(ord) || ',"region":"' || any_value(region) || '"}') AS contract,
+       any_value(region) AS pick, false AS click_first, count(*) FILTER (value = 'error') AS failures, max(period) AS latest,
+       '{' || coalesce(string_agg('"' || period || '":"a' || chr(92) || '"b' || chr(92) || chr(92) || 'c ' || value || '"', ',' ORDER BY period DESC) FILTER (value <> 'error'), '') || '}' AS fingerprint
+FROM r1 JOIN y USING (site_name, site_url) GROUP BY site_name"""),
     "failure_rows": _x(f"{_FAIL} SELECT * FROM fr"),
     "failure_line_round_trip": _x(f"{_FAIL} SELECT name, region, url, category, reason FROM fr WHERE url NOT LIKE '%x'"),
     "round_report": f"{_ERR.replace('WITH', 'WITH ' + VIEWS.strip() + ',', 1)} SELECT 'success' AS section, '' AS category, count(*) AS n FROM r1 WHERE value <> 'error' UNION ALL SELECT 'failure', CASE WHEN starts_with(reason, '候选') THEN 'ambiguous' WHEN reason = 'timed out' THEN 'transient network' WHEN starts_with(reason, '没有') THEN 'no such period' ELSE 'other' END, count(*) FROM e GROUP BY 1, 2",

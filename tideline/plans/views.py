@@ -6,6 +6,9 @@ value for each period.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A new path in the folder that all executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"file://{tempfile.gettempdir()}"
+    return f"{base.rstrip('/')}/tideline-{uuid.uuid4().hex}"
+
+
 def _site(user: str) -> list[Column]:
     name = F.concat(F.lit("site"), F.col(user).cast("string"))
     return [name.alias("site_name"), F.concat(F.lit("http://host"), (F.col(user) % 7).cast("string"), F.lit("/"), name).alias("site_url")]

@@ -140,25 +140,60 @@ def read_history(docs: DataFrame) -> DataFrame:
     return good.unionByName(bad).filter("period is not null")
 
 
-def history_documents(history: DataFrame) -> DataFrame:
-    """Long rows as one document row for each site: id, its values by period from new to old (JSON), its failures, latest period.
+def history_documents(history: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """Long rows as one row for each site: its values by period from new to old (``values``, and ``fingerprint`` as JSON),
+    its failures, latest period, id, and what its contract says: hash (contract), pick, browser, click_first.
 
-    A site and period with two values or both states fails the job.
+    ``registry(site_name, site_url, ord, raw)``; a site that it doesn't have has an empty contract and pick. An id is the
+    contract's own, else made of the site's place (in the registry's order, then by name) and URL; one that is taken gets
+    its place as a suffix. A site and period with two rows fails the job.
     """
     per_key = history.groupBy(*SITE, "period").agg(F.count(F.lit(1)).alias("n"), F.max("state").alias("state"), F.max("value").alias("value"))
     once = per_key.withColumn("value", F.when(F.col("n") > 1, F.raise_error(F.lit("two rows for one site and period"))).otherwise(F.col("value")))
     newest = F.sort_array(F.collect_list(F.when(F.col("state") == "success", F.struct("period", "value"))), asc=False)
-    entries = F.transform(newest, lambda x: F.concat(F.lit('"'), x["period"].cast("string"), F.lit('":'), F.concat(F.lit('"'), F.replace(x["value"], F.lit('"'), F.lit('\\"')), F.lit('"'))))
-    grouped = once.groupBy(*SITE).agg(F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}")).alias("fingerprint"), F.count_if(F.col("state") == "failed").alias("failures"), F.max("period").alias("latest"))
-    return grouped.withColumn("id", t.site_slug(F.col("site_url")))
+    values = F.map_from_entries(F.transform(newest, lambda x: F.struct(x["period"].cast("string"), x["value"])))
+    grouped = once.groupBy(*SITE).agg(values.alias("values"), F.count_if(F.col("state") == "failed").alias("failures"), F.max("period").alias("latest"))
+    sites = grouped.withColumn("fingerprint", F.to_json("values"))
+    if registry is None:
+        return sites.withColumn("id", t.site_slug(F.col("site_url")))
+    told = registry.select(
+        *SITE,
+        "ord",
+        F.nullif(F.trim(_field("id", "string")), F.lit("")).alias("own_id"),
+        t.contract_hash(F.col("raw")).alias("contract"),
+        t.normalize_region(_field("region", "string")).alias("pick"),
+        F.coalesce(_field("browser", "boolean"), _field("browser_fallback", "boolean"), F.lit(False)).alias("browser"),
+        F.coalesce(_field("click_first", "boolean"), _field("position", "string") == "first", F.lit(False)).alias("click_first"),
+    )
+    joined = sites.join(told, SITE, "left").withColumns({"contract": F.coalesce("contract", F.lit("")), "pick": F.coalesce("pick", F.lit("")), "browser": F.coalesce("browser", F.lit(False)), "click_first": F.coalesce("click_first", F.lit(False))})
+    # Sites are as many as the registry has, so their places are counted in one window.
+    place = F.row_number().over(Window.orderBy(F.col("ord").isNull(), "ord", *SITE))
+    named = joined.withColumn("place", place).withColumn("id", F.coalesce("own_id", F.concat(F.format_string("s%03d_", "place"), t.site_slug(F.col("site_url")))))
+    again = F.row_number().over(Window.partitionBy("id").orderBy("place")) > 1
+    suffixed = F.concat("id", F.format_string("_%03d", "place"))
+    return named.withColumn("again", again).withColumn("id", F.when(F.col("again"), suffixed).otherwise(F.col("id"))).drop("again", "own_id", "ord", "place")
+
+
+def history_header(history: DataFrame) -> DataFrame:
+    """One row: base_period, the latest period of successes and failures (0 if there is none)."""
+    return history.agg(F.coalesce(F.max("period"), F.lit(0)).alias("base_period"))
 
 
 def append_results(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """``(name, value)`` of a result file and of a run: what to do with each new row - append, nothing, or a conflict."""
-    old = existing.groupBy("name").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    rows = new.select("name", "value").distinct().join(old, "name", "left")
-    action = F.when(F.col("low").isNull(), "append").when((F.col("low") == F.col("value")) & (F.col("high") == F.col("value")), "noop").otherwise("conflict")
-    return rows.select("name", "value", action.alias("action"))
+    """``(name, value)`` of a result file and of a run: what to do with each new row - append, nothing (noop), or a conflict
+    with what is ``stored``.
+
+    A line that the file has needs nothing; another value for a name it has is a conflict. Of a new name the first value
+    (by ``seq`` where ``new`` has it, else the smallest) is appended, and any other is in conflict with it.
+    """
+    seq = F.col("seq") if "seq" in new.columns else F.lit(0)
+    rows = new.groupBy("name", "value").agg(F.min(seq).alias("seq"))
+    first = F.first_value("value").over(Window.partitionBy("name").orderBy("seq", "value"))
+    lines = existing.select("name", "value").distinct()
+    old = lines.groupBy("name").agg(F.min("value").alias("old"))
+    joined = rows.withColumn("first", first).join(old, "name", "left").join(lines.withColumn("there", F.lit(True)), ["name", "value"], "left")
+    action = F.when(F.col("there"), "noop").when(F.col("old").isNotNull(), "conflict").when(F.col("value") == F.col("first"), "append").otherwise("conflict")
+    return joined.select("name", "value", action.alias("action"), F.when(action == "conflict", F.coalesce("old", "first")).alias("stored"))
 
 
 def failure_rows(failures: DataFrame, registry: DataFrame) -> DataFrame:
