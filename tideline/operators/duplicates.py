@@ -104,6 +104,50 @@ def run_clusters(records: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     return _shingles(records, min_run).groupBy("period", "values").agg(F.count(F.lit(1)).alias("sites")).filter("sites >= 2")
 
 
+def run_classes(records: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+    """Runs between classes of sites instead of sites: name_a, url_a, sites_a, name_b, url_b, sites_b, and the run as in
+    ``site_pair_runs``. Sites with equal records in all periods are one class, named by its first site; a class of several
+    sites that has a run of its own is in a row with itself.
+
+    However many sites agree, they are one row of shingles, so neither a task nor the result grows with their pairs;
+    ``class_members`` and ``class_pairs`` give the sites where they are asked for.
+    """
+    members = class_members(records)
+    sizes = members.groupBy("class_name", "class_url").agg(F.count(F.lit(1)).alias("sites"))
+    first = members.filter("site_name = class_name and site_url = class_url").select(*SITE)
+    runs = site_pair_runs(records.join(first, SITE, "left_semi"), min_run)
+    side = lambda x: sizes.select(F.col("class_name").alias(f"name_{x}"), F.col("class_url").alias(f"url_{x}"), F.col("sites").alias(f"sites_{x}"))
+    across = runs.join(side("a"), ["name_a", "url_a"]).join(side("b"), ["name_b", "url_b"])
+    several = sizes.filter("sites > 1").select(F.col("class_name").alias("site_name"), F.col("class_url").alias("site_url"))
+    shingles = _shingles(records.join(several, SITE, "left_semi"), min_run)
+    island = F.col("period") - F.row_number().over(Window.partitionBy(*SITE).orderBy("period"))
+    own = shingles.withColumn("island", island).groupBy(*SITE, "island").agg(F.count(F.lit(1)).alias("n"), F.max("period").alias("p"))
+    best = own.groupBy(*SITE).agg(F.max(F.struct((F.col("n") + min_run - 1).cast("int").alias("length"), (F.col("p") + min_run - 1).cast("int").alias("last"))).alias("best"))
+    length, last = F.col("best.length"), F.col("best.last")
+    within = best.select(*[F.col(c).alias(f"{n}_{x}") for x in "ab" for c, n in zip(SITE, ("name", "url"), strict=True)], run_status(length).alias("status"), length.alias("run_length"), (last - length + 1).alias("first_period"), last.alias("last_period"))
+    columns = ["name_a", "url_a", "sites_a", "name_b", "url_b", "sites_b", "status", "run_length", "first_period", "last_period"]
+    return across.select(columns).unionByName(within.join(side("a"), ["name_a", "url_a"]).withColumn("sites_b", F.col("sites_a")).select(columns))
+
+
+def class_members(records: DataFrame) -> DataFrame:
+    """Every site with the first site (by name, then URL) of those that have the same records: site_name, site_url,
+    class_name, class_url."""
+    one = records.groupBy(*SITE, "period").agg(F.max_by("value", "seq").alias("value"))
+    chains = one.groupBy(*SITE).agg(F.sort_array(F.collect_list(F.struct("period", "value"))).alias("chain"))
+    first = chains.groupBy("chain").agg(F.min(F.struct(*SITE)).alias("first"))
+    return chains.join(first, "chain").select(*SITE, F.col("first.site_name").alias("class_name"), F.col("first.site_url").alias("class_url"))
+
+
+def class_pairs(classes: DataFrame, members: DataFrame) -> DataFrame:
+    """``run_classes`` expanded to pairs of sites, as ``site_pair_runs`` has them."""
+    side = lambda x: members.select(F.col("class_name").alias(f"name_{x}"), F.col("class_url").alias(f"url_{x}"), F.struct(*SITE).alias(x))
+    met = classes.join(side("a"), ["name_a", "url_a"]).join(side("b"), ["name_b", "url_b"])
+    same = (F.col("name_a") == F.col("name_b")) & (F.col("url_a") == F.col("url_b"))
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    named = [x[c].alias(f"{n}_{k}") for k, x in (("a", low), ("b", high)) for c, n in zip(SITE, ("name", "url"), strict=True)]
+    return met.filter(~same | (F.col("a") < F.col("b"))).select(*named, "status", "run_length", "first_period", "last_period")
+
+
 def rank_matches(runs: DataFrame) -> DataFrame:
     """Rejected first, then longer runs, then names."""
     return runs.orderBy(F.when(F.col("status") == "reject", 0).otherwise(1), F.desc("run_length"), "name_a", "name_b")
@@ -136,46 +180,99 @@ def readiness_gaps(records: DataFrame, registry: DataFrame | None = None, recent
     return judged.select(*SITE, F.col("need").cast("int").alias("need"), F.col("found").cast("int").alias("found"), F.array_join(reasons, ",").alias("reason")).filter("reason <> ''")
 
 
-def no_common_period_pairs(records: DataFrame) -> DataFrame:
-    """Pairs of sites without a period in common.
+def period_classes(records: DataFrame) -> DataFrame:
+    """Sites with equal sets of periods as one row: periods (sorted), sites (how many)."""
+    sets = records.groupBy(*SITE).agg(F.sort_array(F.collect_set("period")).alias("periods"))
+    return sets.groupBy("periods").agg(F.count(F.lit(1)).alias("sites"))
+
+
+def disjoint_classes(records: DataFrame) -> DataFrame:
+    """Pairs of ``period_classes`` without a period in common: periods, sites, theirs, their_sites, with periods < theirs.
 
-    Sites with equal sets of periods are one class; only classes are compared, and only disjoint ones expand to pairs.
+    A class that shares nothing with another lacks all its periods. So classes are listed under every period they lack,
+    and each class looks only under that of its own periods which fewest classes lack.
     """
+    classes = period_classes(records)
+    every = records.select("period").distinct()
+    missed = every.join(classes.select("periods", F.explode("periods").alias("period")).groupBy("period").agg(F.count(F.lit(1)).alias("having")), "period")
+    total = classes.agg(F.count(F.lit(1)).alias("classes"))
+    # One row is attached: the number of classes.
+    lacking = missed.join(F.broadcast(total), F.lit(True)).select("period", (F.col("classes") - F.col("having")).alias("lack"))
+    best = classes.select("periods", "sites", F.explode("periods").alias("period")).join(lacking, "period").groupBy("periods", "sites").agg(F.min_by("period", F.struct("lack", "period")).alias("period"))
+    # Periods are few (a year's), so a class and what it lacks is a short list.
+    all_periods = every.agg(F.sort_array(F.collect_list("period")).alias("all"))
+    absent = classes.join(F.broadcast(all_periods), F.lit(True)).select(F.col("periods").alias("theirs"), F.col("sites").alias("their_sites"), F.explode(F.array_except("all", "periods")).alias("period"))
+    return best.join(absent, "period").filter("periods < theirs and not arrays_overlap(periods, theirs)").select("periods", "sites", "theirs", "their_sites")
+
+
+def no_common_period_pairs(records: DataFrame) -> DataFrame:
+    """Pairs of sites without a period in common: ``disjoint_classes`` expanded to their sites."""
     sets = records.groupBy(*SITE).agg(F.sort_array(F.collect_set("period")).alias("periods"))
-    classes = sets.select("periods").distinct()
-    other = classes.select(F.col("periods").alias("theirs"))
-    disjoint = classes.join(other, F.expr("periods < theirs and not arrays_overlap(periods, theirs)"))
     a, b = sets.alias("a"), sets.select(*[F.col(c).alias(f"{c}_b") for c in sets.columns]).alias("b")
-    pairs = disjoint.join(a, "periods").join(b, F.col("theirs") == F.col("periods_b"))
+    pairs = disjoint_classes(records).select("periods", "theirs").join(a, "periods").join(b, F.col("theirs") == F.col("periods_b"))
     one, two = F.struct("site_name", "site_url"), F.struct(F.col("site_name_b").alias("site_name"), F.col("site_url_b").alias("site_url"))
     low, high = F.least(one, two), F.greatest(one, two)
     return pairs.select(low["site_name"].alias("name_a"), low["site_url"].alias("url_a"), high["site_name"].alias("name_b"), high["site_url"].alias("url_b"))
 
 
-#: Lengths of the substrings by which names meet texts that contain them.
-PIECES = (8, 4, 2, 1)
+def readiness_problems(records: DataFrame, registry: DataFrame | None = None, recent: int = 10) -> DataFrame:
+    """All that keeps a comparison from a conclusion: site_name, site_url, period (null for a whole site), reason.
+
+    What ``readiness_gaps`` lists; stored values that aren't what their contract (``count``, ``allow_repeats`` and
+    ``exceptions`` of the registry, see ``size_violations``; without one, any number of tokens) allows; and one row with
+    empty site for fewer than two sites. Pairs without a common period are ``disjoint_classes``.
+    """
+    gaps = readiness_gaps(records, registry, recent).select(*SITE, F.lit(None).cast("int").alias("period"), F.explode(F.split("reason", ",")).alias("reason"))
+    rows = records.select(*SITE, "period", F.split(F.trim("value"), r"[,.\s]+").alias("tokens"))
+    none = {"count": "int", "allow_repeats": "boolean", "exceptions": "map<string, struct<approved: boolean, count: int>>"}
+    own = registry.select(*SITE, *[(F.col(c) if c in registry.columns else F.lit(None)).cast(kind).alias(c) for c, kind in none.items()]) if registry is not None else None
+    judged = rows.join(own, SITE, "left") if own is not None else rows.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in none.items()])
+    exception = F.try_element_at("exceptions", F.col("period").cast("string"))
+    wanted = F.when(exception["approved"], exception["count"]).otherwise(F.coalesce("count", F.size("tokens")))
+    number = lambda x: F.coalesce((F.length(x) == 2) & x.try_cast("int").between(1, 49), F.lit(False))
+    reasons = F.array_compact(
+        F.array(
+            F.when(~F.forall("tokens", number), "not a number"),
+            F.when(F.size("tokens") != wanted, "wrong size"),
+            F.when(~F.coalesce("allow_repeats", F.lit(False)) & (F.size("tokens") != F.size(F.array_distinct("tokens"))), "repeats"),
+        )
+    )
+    values = judged.select(*SITE, "period", F.explode(reasons).alias("reason")).distinct()
+    few = records.select(*SITE).distinct().limit(2).agg(F.count(F.lit(1)).alias("n")).filter("n < 2")
+    scope = few.select(F.lit("").alias("site_name"), F.lit("").alias("site_url"), F.lit(None).cast("int").alias("period"), F.lit("fewer than two sites").alias("reason"))
+    return gaps.unionByName(values).unionByName(scope)
+
+
+#: Lengths of the grams by which names meet texts that contain them; a name goes by the greatest that it has.
+GRAMS = (8, 4, 2, 1)
 
 
-def _pieces(text: Column) -> Column:
-    """The distinct substrings of a text of the lengths of PIECES."""
-    at = F.sequence(F.lit(1), F.length(text))
-    return F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(*[F.substring(text, i, n) for n in PIECES]))))
+def _grams(text: Column, n: int) -> Column:
+    """The distinct substrings of ``n`` characters."""
+    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(n))))
 
 
-def _beginning(text: Column) -> Column:
-    """The longest piece that a text begins with: a text that contains it has that piece too."""
-    out = F.lit(None).cast("string")
-    for n in reversed(PIECES):
-        out = F.when(F.length(text) >= n, F.substring(text, 1, n)).otherwise(out)
-    return out
+def containment_candidates(short: DataFrame, long: DataFrame) -> DataFrame:
+    """Pairs of ``short(inner)`` and ``long(outer)``, not empty, whose outer text has the rarest gram of the inner one.
+
+    A text that contains another has all its grams, so any of them may bring the two together; the one that fewest outer
+    texts have brings fewest together, and an inner text with a gram that none has meets nothing at all.
+    """
+    own = F.lit(None).cast("array<string>")
+    for n in reversed(GRAMS):
+        own = F.when(F.length("inner") >= n, _grams(F.col("inner"), n)).otherwise(own)
+    keyed = short.filter("inner <> ''").select("inner").distinct().select("inner", F.explode(own).alias("gram"))
+    held = long.filter("outer <> ''").select("outer").distinct().select("outer", F.explode(F.concat(*[_grams(F.col("outer"), n) for n in GRAMS])).alias("gram"))
+    frequency = held.groupBy("gram").agg(F.count(F.lit(1)).alias("texts"))
+    weighed = keyed.join(frequency, "gram", "left").withColumn("texts", F.coalesce("texts", F.lit(0)))
+    rarest = weighed.groupBy("inner").agg(F.min(F.struct("texts", "gram")).alias("r")).filter("r.texts > 0").select("inner", F.col("r.gram").alias("gram"))
+    return rarest.join(held, "gram").select("inner", "outer")
 
 
 def containing_pairs(short: DataFrame, long: DataFrame) -> DataFrame:
-    """Pairs of ``short(inner)`` and ``long(outer)``, not empty, where the outer text contains the inner one: an equality
-    join on the inner text's beginning, then the test."""
-    keyed = short.filter("inner <> ''").withColumn("piece", _beginning(F.col("inner")))
-    held = long.filter("outer <> ''").select("outer", F.explode(_pieces(F.col("outer"))).alias("piece"))
-    return keyed.join(held, "piece").filter(F.contains("outer", "inner")).select("inner", "outer").distinct()
+    """Pairs of ``short(inner)`` and ``long(outer)``, not empty, where the outer text contains the inner one."""
+    return containment_candidates(short, long).filter(F.contains("outer", "inner"))
 
 
 def resolve_urls(names: DataFrame, registry: DataFrame) -> DataFrame:

@@ -148,16 +148,17 @@ def select_candidates(rows: DataFrame, strict: bool = True, prefer_pending: bool
     In the window first; rows outside count only if the window holds nothing of the period and nothing but older ones.
     Groups with repeats are out, unless ``allow_repeats``. One distinct group is the value. Of several it is the only one
     whose result is pending if ``prefer_pending``; else they are an "ambiguous" problem if ``strict``; else it is the
-    only pending one, or the one nearest the document's end of interest.
+    only pending one, or the one nearest the document's end of interest. A column ``place`` of a document comes through.
     """
+    carried = [F.first("place").alias("place")] if "place" in rows.columns else []
     live = rows.filter(F.col("seam").isNull() | (F.col("start") < F.col("seam")))
     newest = F.max(F.when(F.col("in_window"), F.col("period"))).over(Window.partitionBy("doc"))
     has_inside = F.bool_or(F.coalesce("in_window", F.lit(True)) & (F.size("groups") > 0)).over(Window.partitionBy("doc", "period"))
     usable = live.withColumns({"__newest": newest, "__inside": has_inside}).filter(F.coalesce("in_window", F.lit(True)) | (~F.col("__inside") & (F.col("__newest") < F.col("period"))))
-    each = usable.select("doc", "period", "start", "region", "segment", F.posexplode("groups").alias("i", "group"))
+    each = usable.select("doc", "period", "start", "region", "segment", *["place"][: len(carried)], F.posexplode("groups").alias("i", "group"))
     clean = (each if allow_repeats else each.filter(~t.has_repeats(F.col("group")))).withColumns({"value": F.array_join("group", ","), "pending": t.pending_marker(F.col("segment"))})
     at = F.struct("start", "i")
-    distinct = clean.groupBy("doc", "period", "value").agg(F.min(at).alias("at"), F.min_by("pending", at).alias("pending"), F.first("region").alias("region"))
+    distinct = clean.groupBy("doc", "period", "value").agg(F.min(at).alias("at"), F.min_by("pending", at).alias("pending"), F.first("region").alias("region"), *carried)
     picked = distinct.groupBy("doc", "period").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if("pending").alias("open"),
@@ -165,13 +166,14 @@ def select_candidates(rows: DataFrame, strict: bool = True, prefer_pending: bool
         F.min_by(F.struct("value", "at"), "at").alias("first"),
         F.max_by(F.struct("value", "at"), "at").alias("last"),
         F.first("region").alias("region"),
+        *carried,
     )
     any_one = F.when(F.col("region") == "bottom", F.col("last")).otherwise(F.col("first"))
     one = F.when(F.col("n") == 1, F.col("first"))
     if prefer_pending or not strict:
         one = one.when(F.col("open") == 1, F.col("of_open"))
     one = one.otherwise(F.lit(None) if strict else any_one)
-    return picked.withColumn("one", one).select("doc", "period", F.col("one.value").alias("value"), F.col("one.at.start").alias("start"), F.when(F.col("one").isNull(), "ambiguous").alias("problem"))
+    return picked.withColumn("one", one).select("doc", "period", F.col("one.value").alias("value"), F.col("one.at.start").alias("start"), F.when(F.col("one").isNull(), "ambiguous").alias("problem"), *["place"][: len(carried)])
 
 
 def extract(docs: DataFrame, strict: bool = True, prefer_pending: bool = False, allow_repeats: bool = False) -> DataFrame:

@@ -37,6 +37,22 @@ def _shops(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(F.col("c_name").alias("site_name"), F.concat(F.lit("http://shop/"), F.col("c_custkey").cast("string")).alias("site_url"))
 
 
+def _numbered(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Day records with two numbers for a value, some out of range or repeated, and contracts that ask for two, of every
+    third site for three, with an approved exception."""
+    two = lambda n: F.format_string("%02d", n + 1)
+    rows = day_records(spark, sf).withColumn("value", F.concat_ws(",", two(F.col("seq") % 53), two(F.col("seq") % 7)))
+    exceptions = F.create_map(F.lit("5"), F.struct(F.lit(True).alias("approved"), F.lit(2).alias("count")), F.lit("6"), F.struct(F.lit(False).alias("approved"), F.lit(2).alias("count")))
+    return rows, registry(spark, sf).withColumns({"count": F.when(F.col("ord") % 3 == 0, 3).otherwise(2), "allow_repeats": F.col("ord") % 4 == 0, "exceptions": exceptions})
+
+
+def _twins(spark: SparkSession, sf: str) -> DataFrame:
+    """Day records, and those of every fourth site again under two other names."""
+    rows = day_records(spark, sf)
+    twins = rows.withColumn("site_name", F.explode(F.when(F.expr("cast(substring(site_name, 5) AS int) % 4 = 0"), F.array("site_name", F.concat("site_name", F.lit("a")), F.concat("site_name", F.lit("b")))).otherwise(F.array("site_name"))))
+    return twins
+
+
 QUERIES = {
     "site_pair_runs": _pairs,
     "ranked_matches": lambda s, p: d.rank_matches(_pairs(s, p)),
@@ -51,6 +67,10 @@ QUERIES = {
     "completeness_gaps": lambda s, p: d.completeness_gaps(day_records(s, p), REQUESTED).select("site_name", "site_url", _joined("missing").alias("missing")),
     "readiness_gaps": lambda s, p: d.readiness_gaps(day_records(s, p), registry(s, p), 3),
     "no_common_period_pairs": lambda s, p: d.no_common_period_pairs(day_records(s, p).filter("period <= 2")),
+    "disjoint_period_classes": lambda s, p: d.disjoint_classes(day_records(s, p).withColumn("period", (F.col("period") / 5).cast("int"))).select(_joined("periods").alias("periods"), "sites", _joined("theirs").alias("theirs"), "their_sites"),
+    "readiness_problems": lambda s, p: d.readiness_problems(*_numbered(s, p), 3),
+    "site_run_classes": lambda s, p: d.run_classes(_twins(s, p)).groupBy("status", "run_length", "sites_a", "sites_b").agg(F.count(F.lit(1)).alias("rows")),
+    "site_run_class_pairs": lambda s, p: d.class_pairs(d.run_classes(_twins(s, p)), d.class_members(_twins(s, p))),
     "resolve_url": lambda s, p: d.resolve_urls(_names(s, p), _shops(s, p)),
     "filter_periods": lambda s, p: d.filter_periods(day_records(s, p), REQUESTED).select("site_name", "period", "value"),
     "recent_range": lambda s, p: day_records(s, p).groupBy("site_name").agg(F.max("period").alias("latest")).select("site_name", _joined(d.recent_range(F.col("latest"), 4)).alias("periods")),
@@ -69,6 +89,11 @@ x2 AS (SELECT name_a, url_a, name_b, url_b, CAST(count(*) AS INTEGER) AS run_len
 runs AS (SELECT name_a, url_a, name_b, url_b, CASE WHEN run_length >= 6 THEN 'reject' ELSE 'suspect' END AS status, run_length, last_period - run_length + 1 AS first_period, last_period
          FROM x2 QUALIFY row_number() OVER (PARTITION BY name_a, url_a, name_b, url_b ORDER BY run_length DESC, last_period DESC) = 1)
 """
+_TWINS = """
+tw AS (SELECT site_name || unnest(CASE WHEN CAST(site_name[5:] AS INTEGER) % 4 = 0 THEN ['', 'a', 'b'] ELSE [''] END) AS site_name, site_url, period, value FROM r1),
+ch AS (SELECT site_name, site_url, list((period, value) ORDER BY period) AS chain FROM tw GROUP BY 1, 2),
+cl AS (SELECT site_name, site_url, row_number() OVER (PARTITION BY chain ORDER BY site_name, site_url) AS nth, count(*) OVER (PARTITION BY chain) AS sites FROM ch)
+"""
 _PROBLEMS = """
 x AS (SELECT *, first_value(value) OVER (PARTITION BY site_name, site_url, period ORDER BY seq) AS f FROM raw WHERE value IN ('signup', 'purchase') AND period <= 2),
 problems AS (SELECT 'conflict' AS kind, site_name AS name, site_url AS url, 'period ' || period || ' has two values: ' || f || ' | ' || value AS reason FROM x WHERE f <> value)
@@ -106,6 +131,25 @@ SELECT site_name, site_url, CAST(need AS INTEGER) AS need, CAST(found AS INTEGER
 x AS (SELECT DISTINCT site_name, site_url FROM r1 WHERE period <= 2)
 SELECT a.site_name AS name_a, a.site_url AS url_a, b.site_name AS name_b, b.site_url AS url_b FROM x a JOIN x b ON (a.site_name, a.site_url) < (b.site_name, b.site_url)
 WHERE NOT EXISTS (SELECT 1 FROM r1 p JOIN r1 q ON p.period = q.period WHERE p.period <= 2 AND p.site_name = a.site_name AND q.site_name = b.site_name)"""),
+    "disjoint_period_classes": sql("""
+x AS (SELECT list_sort(list(DISTINCT period // 5)) AS p FROM r1 GROUP BY site_name, site_url), c AS (SELECT p, count(*) AS n FROM x GROUP BY p)
+SELECT array_to_string(a.p, ',') AS periods, a.n AS sites, array_to_string(b.p, ',') AS theirs, b.n AS their_sites FROM c a JOIN c b ON a.p < b.p AND NOT list_has_any(a.p, b.p)"""),
+    "readiness_problems": sql("""
+x AS (SELECT site_name, site_url, period, [seq % 53 + 1, seq % 7 + 1] AS v, CASE WHEN ord % 3 = 0 AND period <> 5 THEN 3 ELSE 2 END AS wanted, ord % 4 = 0 AS repeats FROM r1 JOIN reg USING (site_name, site_url)),
+y AS (SELECT g.site_name, g.site_url, coalesce(g.recent_history_count, 3) AS need, g.disabled, (SELECT max(period) FROM r1 WHERE r1.site_name = g.site_name) AS top FROM reg g),
+z AS (SELECT y.*, (SELECT count(*) FROM r1 WHERE r1.site_name = y.site_name AND r1.period > y.top - y.need) AS found FROM y)
+SELECT site_name, site_url, CAST(NULL AS INTEGER) AS period, 'incomplete' AS reason FROM z WHERE found < need UNION ALL SELECT site_name, site_url, NULL, 'not enabled' FROM z WHERE disabled
+UNION ALL SELECT site_name, site_url, period, 'not a number' FROM x WHERE v[1] > 49 UNION ALL SELECT site_name, site_url, period, 'wrong size' FROM x WHERE wanted = 3
+UNION ALL SELECT site_name, site_url, period, 'repeats' FROM x WHERE v[1] = v[2] AND NOT repeats"""),
+    "site_run_class_pairs": sql(f"{_RUNS.replace('FROM r1 a JOIN r1 b', 'FROM tw a JOIN tw b').replace('x1 AS', f'x0 AS (SELECT 1), {_TWINS.strip()}, x1 AS', 1).strip().replace('x0 AS (SELECT 1)', 'x AS (SELECT 1)', 1)} SELECT * FROM runs"),
+    "site_run_classes": sql(f"""x AS (SELECT 1), {_TWINS.strip()},
+x1 AS (SELECT ca.site_name AS name_a, ca.site_url AS url_a, cb.site_name AS name_b, cb.site_url AS url_b, ca.sites AS sites_a, cb.sites AS sites_b, a.period,
+     a.period - row_number() OVER (PARTITION BY ca.site_name, ca.site_url, cb.site_name, cb.site_url ORDER BY a.period) AS g
+     FROM cl ca JOIN cl cb ON ca.nth = 1 AND cb.nth = 1 AND ((ca.site_name, ca.site_url) < (cb.site_name, cb.site_url) OR ca.sites > 1 AND (ca.site_name, ca.site_url) = (cb.site_name, cb.site_url))
+     JOIN tw a ON a.site_name = ca.site_name AND a.site_url = ca.site_url JOIN tw b ON b.site_name = cb.site_name AND b.site_url = cb.site_url AND a.period = b.period AND a.value = b.value),
+x2 AS (SELECT name_a, url_a, name_b, url_b, sites_a, sites_b, CAST(count(*) AS INTEGER) AS run_length, max(period) AS last_period FROM x1 GROUP BY name_a, url_a, name_b, url_b, sites_a, sites_b, g HAVING count(*) >= 3),
+x3 AS (SELECT * FROM x2 QUALIFY row_number() OVER (PARTITION BY name_a, url_a, name_b, url_b ORDER BY run_length DESC, last_period DESC) = 1)
+SELECT CASE WHEN run_length >= 6 THEN 'reject' ELSE 'suspect' END AS status, run_length, sites_a, sites_b, count(*) AS "rows" FROM x3 GROUP BY ALL"""),
     "resolve_url": """
 WITH n AS (SELECT DISTINCT CASE WHEN c_custkey % 3 = 1 THEN c_name ELSE 'shop of ' || c_name END AS name FROM customer),
 t AS (SELECT c_name AS target, 'http://shop/' || c_custkey AS url FROM customer),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..operators import evidence as e
 from ..operators import segments as g
 from .views import table
 
@@ -141,11 +142,42 @@ def _dispatch(spark: SparkSession, sf: str) -> DataFrame:
     return g.contract_dispatch(sites, contracts)[1]
 
 
+def _anchored(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with a head and a tail around their column of rows; a twentieth of them without the line that ends it."""
+    n = F.col("doc")
+    tail = F.concat(F.when(n % 20 == 7, "").otherwise("\n终点"), F.lit("\n300期 十码 01.02.03 开:??"))
+    content = F.concat(F.repeat(F.lit("x"), (n % 7).cast("int")), F.lit("\n栏目\n"), "content", tail)
+    rows = pages(spark, sf).withColumns({"content": content, "anchor": F.lit("栏目"), "stop_anchor": F.lit("终点"), "kind": F.lit("page"), "url": F.concat(F.lit("http://h/Topic/"), n.cast("string")), "source_url_pattern": F.lit("/topic/")})
+    return rows.withColumn("fingerprint", F.sha2("content", 256))
+
+
+def _evidence(spark: SparkSession, sf: str) -> DataFrame:
+    return e.extract_located(_anchored(spark, sf)).select("doc", "period", "value", "problem", "evidence.anchor", "evidence.section_start", "evidence.section_end", "evidence.candidate_start")
+
+
+def _spoilt(spark: SparkSession, sf: str) -> DataFrame:
+    """Evidence that is moved, cut, re-dated, taken from elsewhere or altered, by the period."""
+    k, at, end = F.col("period") % 11, F.col("evidence.candidate_start"), F.col("evidence.section_end")
+    found = e.extract_located(_anchored(spark, sf)).filter("value is not null")
+    changed = (
+        F.col("evidence")
+        .withField("candidate_start", F.when(k == 0, at + 22).when(k == 4, end).otherwise(at))
+        .withField("section_end", F.when(k == 1, at + 8).otherwise(end))
+        .withField("source_url", F.when(k == 3, "http://h/other").otherwise(F.col("evidence.source_url")))
+        .withField("fingerprint", F.when(k == 5, F.sha2(F.lit("x"), 256)).otherwise(F.col("evidence.fingerprint")))
+        .withField("source_kind", F.when(k == 6, F.lit(None)).otherwise(F.col("evidence.source_kind")))
+    )
+    spoilt = found.withColumn("evidence", changed).withColumns({"period": F.when(k == 2, F.col("period") + 1).otherwise(F.col("period")), "value": F.when(k == 7, "01,02,50").otherwise(F.col("value"))})
+    return e.evidence_violations(spoilt, _anchored(spark, sf))
+
+
 QUERIES = {
     "segments": lambda s, p: g.segments(pages(s, p).select("doc", "content")),
     "number_groups": _groups,
     "number_groups_late": _late_groups,
     "extract": lambda s, p: g.extract(pages(s, p)),
+    "candidate_evidence": _evidence,
+    "candidate_evidence_violations": _spoilt,
     "available_periods": lambda s, p: g.available_periods(g.candidate_rows(pages(s, p))),
     "diagnose_miss": lambda s, p: g.diagnose_miss(pages(s, p).withColumns({"count": F.when(F.col("doc") % 3 == 0, 4).otherwise(3), "keywords": F.when(F.col("doc") % 5 == 0, F.array(F.lit("五"))).otherwise(F.col("keywords"))}), [20, 21, 200]),
     "nearest_periods": lambda s, p: g.nearest_periods(rows_written(s, p), [100, 300], 20).select("site", "period", "distance", "nth"),
@@ -179,6 +211,13 @@ ORACLES = {
     "number_groups": f"{_R} SELECT site, period, 0 AS strict, a || ',' || b || ',' || c || ',0' || (period % 9 + 1) AS relaxed FROM r",
     "number_groups_late": f"{_R} SELECT site, period, CASE WHEN period % 3 <> 1 THEN value END AS value FROM l",
     "extract": f"{_R} SELECT site AS doc, period, value, n * 22 AS start, CAST(NULL AS VARCHAR) AS problem FROM w WHERE nth <= 5",
+    "candidate_evidence": f"""{_R}
+SELECT site AS doc, period, value, CAST(NULL AS VARCHAR) AS problem, '栏目' AS anchor, CAST(site % 7 + 1 AS INTEGER) AS section_start, CAST(site % 7 + 4 + rows * 22 AS INTEGER) AS section_end, CAST(site % 7 + 4 + n * 22 AS INTEGER) AS candidate_start
+FROM w WHERE nth <= 5 AND site % 20 <> 7 UNION ALL SELECT DISTINCT site, CAST(NULL AS INTEGER), NULL, 'stop anchor not found', NULL, CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS INTEGER) FROM l WHERE site % 20 = 7""",
+    "candidate_evidence_violations": f"""{_R}, v AS (SELECT site AS doc, CASE WHEN period % 11 = 2 THEN period + 1 ELSE period END AS period, CASE WHEN period % 11 = 7 THEN '01,02,50' ELSE value END AS value,
+ CASE period % 11 WHEN 0 THEN CASE WHEN n = rows - 1 THEN 'out of range' ELSE 'another period' END WHEN 1 THEN 'another section' WHEN 2 THEN 'another period' WHEN 3 THEN 'another URL'
+ WHEN 4 THEN 'out of range' WHEN 5 THEN 'altered' WHEN 6 THEN 'incomplete' WHEN 7 THEN 'another value' END AS violation FROM w WHERE nth <= 5 AND site % 20 <> 7)
+SELECT * FROM v WHERE violation IS NOT NULL""",
     "available_periods": f"{_R} SELECT site AS doc, period, n * 22 AS pos FROM w WHERE nth <= 5",
     "diagnose_miss": f"""{_R} SELECT l.site AS doc, l.period, CASE WHEN l.site % 5 = 0 THEN 'keyword' WHEN l.site % 3 = 0 THEN 'wrong size' WHEN NOT l.clean THEN 'repeats' ELSE 'outside window' END AS reasons
 FROM l LEFT JOIN w ON w.site = l.site AND w.period = l.period AND w.nth <= 5 WHERE l.period IN (20, 21, 200) AND (l.site % 5 = 0 OR l.site % 3 = 0 OR w.site IS NULL)""",
