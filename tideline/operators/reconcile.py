@@ -28,11 +28,15 @@ def choose_documents(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def site_errors(errors: DataFrame) -> DataFrame:
-    """``errors(site, doc, reason)``: a site fails if one of its documents' errors is a hard one; others are skipped."""
+    """``errors(site, doc, reason)``: a site fails if one of its documents' errors is a hard one; others are skipped.
+
+    The reason is that of the first hard error: of the highest ``priority``, then the smallest ``ord``, where ``errors``
+    has them, then the smallest text."""
+    place = [(-F.col("priority")).alias("p")] * ("priority" in errors.columns) + ["ord"] * ("ord" in errors.columns)
     hard = F.lit(False)
     for mark in HARD_MARKERS:
         hard = hard | F.contains("reason", F.lit(mark))
-    return errors.withColumn("hard", hard).groupBy("site").agg(F.bool_or("hard").alias("failed"), F.count(F.lit(1)).alias("errors"), F.min(F.when(F.col("hard"), F.col("reason"))).alias("reason"))
+    return errors.withColumn("hard", hard).groupBy("site").agg(F.bool_or("hard").alias("failed"), F.count(F.lit(1)).alias("errors"), F.min(F.when(F.col("hard"), F.struct(*place, "reason")))["reason"].alias("reason"))
 
 
 def result_violations(results: DataFrame, registry: DataFrame, requested: list[int]) -> DataFrame:

@@ -6,6 +6,8 @@ ordered groups of numbers; windows keep the first or last rows of a page.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -60,31 +62,37 @@ def _groups(text: Column, relaxed: bool) -> Column:
     return F.filter(groups, lambda g: g.isNotNull())
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def number_groups(text: Column, relaxed: bool = False) -> Column:
     """Groups of three or more numbers, longest first.
 
     Numbers before the mark of the result count. If there are none: behind a placeholder, what follows it; behind a
     result, only what follows its line; both up to the next label. Clock times and full dates are no numbers.
     """
-    digits = F.translate(text, "０１２３４５６７８９", "0123456789")
-    parts = F.split(digits, OPENING, 2)
-    before, after = parts[0], F.try_element_at(parts, F.lit(2))
     until_label = lambda x: F.split(x, r"(?<!\d)" + LABEL, 2)[0]
-    pending = after.rlike(PLACEHOLDER)
-    behind = F.when(pending, F.regexp_replace(until_label(after), PLACEHOLDER, " ")).otherwise(until_label(F.coalesce(F.regexp_extract(after, r"(?s)\n(.*)", 1), F.lit(""))))
-    first, second = _groups(before, relaxed), _groups(F.coalesce(behind, F.lit("")), relaxed)
-    chosen = F.when(F.size(first) > 0, first).otherwise(second)
+
+    def behind(after: Column) -> Column:
+        line = until_label(F.coalesce(F.regexp_extract(after, r"(?s)\n(.*)", 1), F.lit("")))
+        return F.when(after.rlike(PLACEHOLDER), F.regexp_replace(until_label(after), PLACEHOLDER, " ")).otherwise(line)
+
+    def chosen(parts: Column) -> Column:
+        later = _groups(F.coalesce(behind(F.try_element_at(parts, F.lit(2))), F.lit("")), relaxed)
+        return _let(_groups(parts[0], relaxed), lambda first: F.when(F.size(first) > 0, first).otherwise(later))
+
+    found = _let(F.split(F.translate(text, "０１２３４５６７８９", "0123456789"), OPENING, 2), chosen)
     # A stable sort by length: place breaks ties.
-    keyed = F.transform(chosen, lambda g, i: F.struct((-F.size(g)).alias("k"), i.alias("i"), g.alias("g")))
+    keyed = F.transform(found, lambda g, i: F.struct((-F.size(g)).alias("k"), i.alias("i"), g.alias("g")))
     return F.transform(F.array_sort(keyed), lambda x: x["g"])
 
 
 def groups_for_count(text: Column, count: Column) -> Column:
     """Strict groups of ``count`` numbers; relaxed ones only if there is no strict one. Null count: all strict groups."""
-    sized = lambda g: F.filter(g, lambda x: (F.size(x) == count) & F.forall(x, t.valid_number))
-    valid = F.filter(number_groups(text), lambda x: F.forall(x, t.valid_number))
-    strict = sized(number_groups(text))
-    return F.when(count.isNull(), valid).when(F.size(strict) > 0, strict).otherwise(sized(number_groups(text, relaxed=True)))
+    fit = lambda groups: F.filter(groups, lambda x: (count.isNull() | (F.size(x) == count)) & F.forall(x, t.valid_number))
+    return _let(fit(number_groups(text)), lambda strict: F.when(count.isNull() | (F.size(strict) > 0), strict).otherwise(fit(number_groups(text, relaxed=True))))
 
 
 def keyword_match(segment: Column, keywords: Column) -> Column:
@@ -137,7 +145,7 @@ def candidate_rows(docs: DataFrame, allow_repeats: bool = False) -> DataFrame:
     """
     # The seam is that of all segments, not only of those with the keywords, so it comes first.
     found = cycle_seam(segments(docs)).filter(keyword_match(F.col("segment"), F.col("keywords")))
-    sized = found.withColumn("groups", groups_for_count(owned_text(F.col("segment")), F.col("count")))
+    sized = found.withColumn("__owned", owned_text(F.col("segment"))).withColumn("groups", groups_for_count(F.col("__owned"), F.col("count"))).drop("__owned")
     clean = F.col("groups") if allow_repeats else F.filter("groups", lambda g: ~t.has_repeats(g))
     return direction_window(sized.withColumn("value", F.array_join(F.try_element_at(clean, F.lit(1)), ",")))
 
@@ -196,12 +204,11 @@ def nearest_periods(available: DataFrame, wanted: list[int], k: int = 20) -> Dat
 
 def diagnose_miss(docs: DataFrame, wanted: list[int]) -> DataFrame:
     """Why wanted periods of ``docs`` gave no value: doc, period, reasons (sorted, joined), for periods that occur."""
-    keyed = segments(docs).filter(F.col("period").isin(wanted))
-    groups, count = number_groups(owned_text(F.col("segment"))), F.col("count")
-    right = F.filter(groups, lambda g: (F.size(g) == count) | count.isNull())
-    reasons = F.when(~keyword_match(F.col("segment"), F.col("keywords")), "keyword").when(F.size(groups) == 0, "no group").when(F.size(right) == 0, "wrong size").when(F.forall(right, t.has_repeats), "repeats")
+    keyed = segments(docs).filter(F.col("period").isin(wanted)).withColumn("groups", number_groups(owned_text(F.col("segment"))))
+    right = F.filter("groups", lambda g: (F.size(g) == F.col("count")) | F.col("count").isNull())
+    reason = F.when(~keyword_match(F.col("segment"), F.col("keywords")), "keyword").when(F.size("groups") == 0, "no group").when(F.size("right") == 0, "wrong size").when(F.forall("right", t.has_repeats), "repeats")
     hits = extract(docs).filter("value is not null").select("doc", "period")
-    told = keyed.select("doc", "period", F.coalesce(reasons, F.lit("outside window")).alias("reason")).distinct()
+    told = keyed.withColumn("right", right).select("doc", "period", F.coalesce(reason, F.lit("outside window")).alias("reason")).distinct()
     return told.join(hits, ["doc", "period"], "left_anti").groupBy("doc", "period").agg(F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("reasons"))
 
 
@@ -290,6 +297,23 @@ def current_cycle_rows(rows: DataFrame, first: bool = True, last: int = 365) ->
     return blocks.withColumn("problem", F.when(F.col("blocks") > 2, "several seams")).filter((F.col("block") == wanted) & F.col("problem").isNull()).drop("problem")
 
 
+def titled_cycle_rows(rows: DataFrame, first: bool = True, last: int = 365) -> tuple[DataFrame, DataFrame]:
+    """``rows(doc, start, period, title_period, region, window)``: the rows of ``current_cycle_rows`` that the document's
+    window keeps, and the documents that give none: doc, problem.
+
+    The title's period must be one of those in the window: a window that lacks it is another year's, or another article's.
+    """
+    cycles = cycle_blocks(rows, last)
+    several = cycles.filter("blocks > 2").select("doc", F.lit("several seams").alias("problem")).distinct()
+    current = current_cycle_rows(rows, first, last)
+    place = F.when(F.col("region") == "bottom", -F.col("start")).otherwise(F.col("start"))
+    nth = F.row_number().over(Window.partitionBy("doc").orderBy(place))
+    whole = Window.partitionBy("doc")
+    kept = current.withColumn("__n", nth).filter(F.col("__n") <= F.coalesce("window", F.lit(WINDOW_ROWS))).withColumn("__titled", F.coalesce(F.bool_or(F.col("period") == F.col("title_period")).over(whole), F.lit(False)))
+    untitled = kept.filter(~F.col("__titled")).select("doc", F.lit("the title's period is not in the window").alias("problem")).distinct()
+    return kept.filter("__titled").select("doc", "start", "period"), several.unionByName(untitled)
+
+
 def merge_parts(left: DataFrame, right: DataFrame, numbers: int = 6) -> DataFrame:
     """Two columns of a page, ``(site, period, value)`` each, joined by period: value null and a problem unless both
     together are ``numbers`` distinct numbers. Periods that only one side has are left out."""
@@ -336,6 +360,15 @@ def span_rows(pages: DataFrame, window: int) -> DataFrame:
     return found.select("url", F.posexplode(F.slice(pairs, 1, window)).alias("n", "x")).select("url", "n", F.col("x.p").alias("period"), F.col("x.v").alias("value"))
 
 
+def span_values(pages: DataFrame, window: int, count: int) -> DataFrame:
+    """``span_rows`` of ``pages`` whose values are ``count`` two-digit numbers, one value for each period: url, period,
+    value, problem ("ambiguous", with null value, for a period with several)."""
+    read = span_rows(pages, window).withColumn("numbers", F.regexp_extract_all("value", F.lit(r"\d+"), F.lit(0)))
+    good = read.filter((F.size("numbers") == count) & F.forall("numbers", lambda x: (F.length(x) == 2) & t.valid_number(x)))
+    each = good.groupBy("url", "period").agg(F.collect_set(F.array_join("numbers", ",")).alias("values"))
+    return each.select("url", "period", F.when(F.size("values") == 1, F.col("values")[0]).alias("value"), F.when(F.size("values") > 1, "ambiguous").alias("problem"))
+
+
 def scope_override(docs: DataFrame) -> DataFrame:
     """``anchor`` dropped for posts of users whose identity is verified and fits id, source and name; kept otherwise."""
     sure = (F.col("kind") == "user_post") & F.col("identity_verified") & (F.col("user_id") == F.col("wanted_user")) & (F.col("identity_source") == "api") & (F.col("user_name") == F.col("site_name"))

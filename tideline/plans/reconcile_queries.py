@@ -137,8 +137,9 @@ def _stored_history(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
 
 
 def _failed_runs(spark: SparkSession, sf: str) -> DataFrame:
-    runs = _states(spark, sf).filter("round in (5, 6)").select(F.col("site_name").alias("site"), F.col("round").alias("period"), "ok", "reason", (F.length("site_name") > 4).alias("receipt"))
-    return s.all_periods_failed(runs, registry(spark, sf).select(F.col("site_name").alias("site")), [5, 6])
+    runs = _states(spark, sf).select(F.col("site_name").alias("site"), F.col("round").alias("period"), "ok", "reason", (F.length("site_name") > 4).alias("receipt"))
+    found = s.all_periods_failed(runs, registry(spark, sf).select(F.col("site_name").alias("site")), [5, 6])
+    return found.select("site", F.array_join(F.transform("reasons", lambda x: F.concat_ws(": ", x["period"], x["reason"])), "|").alias("reasons"))
 
 
 def _fallback(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,7 +295,10 @@ FROM r1 JOIN y USING (site_name, site_url) GROUP BY site_name"""),
     "failure_rows": _x(f"{_FAIL} SELECT * FROM fr"),
     "failure_line_round_trip": _x(f"{_FAIL} SELECT name, region, url, category, reason FROM fr WHERE url NOT LIKE '%x'"),
     "round_report": f"{_ERR.replace('WITH', 'WITH ' + VIEWS.strip() + ',', 1)} SELECT 'success' AS section, '' AS category, count(*) AS n FROM r1 WHERE value <> 'error' UNION ALL SELECT 'failure', CASE WHEN starts_with(reason, '候选') THEN 'ambiguous' WHEN reason = 'timed out' THEN 'transient network' WHEN starts_with(reason, '没有') THEN 'no such period' ELSE 'other' END, count(*) FROM e GROUP BY 1, 2",
-    "all_periods_failed": _x(f"{_ST} SELECT site_name AS site, CAST(2 AS BIGINT) AS failed, 'timed out 6' AS reason FROM st WHERE round IN (5, 6) AND length(site_name) > 4 GROUP BY 1 HAVING count(*) FILTER (NOT ok) = 2"),
+    "all_periods_failed": _x(f"""{_ST},
+b AS (SELECT g.site_name AS site, p, s.ok AND length(g.site_name) > 4 AS ok, CASE WHEN s.round IS NULL THEN 'in neither file of this run' WHEN length(g.site_name) <= 4 THEN 'no receipt of this run' ELSE s.reason END AS reason
+      FROM reg g CROSS JOIN (SELECT unnest([5, 6]) AS p) q LEFT JOIN st s ON s.site_name = g.site_name AND s.round = q.p)
+SELECT site, string_agg(p || ': ' || reason, '|' ORDER BY p) AS reasons FROM b GROUP BY 1 HAVING NOT coalesce(bool_or(ok), false)"""),
     "receipts": _x(f"{_ST} SELECT DISTINCT site_name, site_url, sha256(site_name) AS contract FROM st WHERE round = 1 AND ok AND site_name NOT IN (SELECT site_name FROM st WHERE round = 2 AND NOT ok)"),
     "source_fallback": """
 WITH l AS (SELECT doc_id // 4 AS site, CAST(doc_id % 4 AS INTEGER) AS k, md5(text) AS content, n_chars % 3 = 0 AS usable, n_chars % 15 = 2 AS hard FROM documents),

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import evidence as e
+from ..operators import identity as i
 from ..operators import segments as g
+from ..operators import what_if as w
 from .views import table
 
 
@@ -59,7 +61,7 @@ def _orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _steps(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").filter("o_custkey % 3 = 0").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("start"), F.when(F.col("o_orderkey") % 10 < 5, 365).otherwise(1).alias("period"))
+    return table(spark, sf, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("start"), F.when(F.col("o_orderkey") % 10 < 5, 365).otherwise(1).alias("period"))
 
 
 def _scoped(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,6 +173,47 @@ def _spoilt(spark: SparkSession, sf: str) -> DataFrame:
     return e.evidence_violations(spoilt, _anchored(spark, sf))
 
 
+def _signed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """A page of an author for each supplier, ten numbers a row, from new to old for even ones; of odd ones every 13th
+    period's row has a second signature, and every ninth page names another author."""
+    rows = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("site"), (F.col("l_orderkey") % 365 + 1).cast("int").alias("period")).agg((F.min("l_partkey") % 40 + 1).cast("int").alias("m"))
+    odd = F.col("site") % 2 == 1
+    numbers = F.array_join(F.transform(F.sequence("m", F.col("m") + 9), lambda x: F.format_string("%02d", x)), ".")
+    line = F.concat(F.format_string("%03d期 屠龙 ", "period"), F.when(odd & (F.col("period") % 13 == 0), "横财 ").otherwise(""), F.lit("绝杀十码 "), numbers, F.lit(" 开:??"))
+    place = F.when(odd, F.col("period")).otherwise(-F.col("period")).alias("place")
+    texts = rows.groupBy("site").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(place, line.alias("line")))), lambda x: x["line"]), "\n").alias("body"))
+    who = F.when(F.col("site") % 9 == 4, "独占").otherwise("屠龙")
+    pages_ = texts.select(F.col("site").alias("doc"), F.concat(F.lit("首页\n作者："), who, F.lit("\n399期：【绝杀十码】\n"), "body").alias("content"), F.lit("屠龙").alias("author"), F.lit("横财").alias("row_anchor"), F.when(odd, "bottom").otherwise("top").alias("region"), F.lit(5).alias("window"))
+    return i.identity_candidates(pages_.withColumns({"requested": F.array(F.lit(26)), "skip_repeats": F.lit(False)}))
+
+
+def _what_if(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Other windows, sizes and regions for some of the suppliers, and a name that nobody has."""
+    docs = pages(spark, sf)
+    n = F.col("site")
+    registry = docs.select(F.col("doc").alias("site"), "keywords", "count", "region", "window")
+    words = F.lit(None).cast("array<string>").alias("keywords")
+    own = registry.filter("site % 2 = 0 or site % 5 = 0").select("site", words, F.when(n % 5 == 0, 4).alias("count"), F.when(n % 14 == 0, "left").alias("region"), F.when(n % 3 == 0, 8).when(n % 3 == 1, 3).alias("window"))
+    none = own.limit(1).select(F.lit(-1).cast("bigint").alias("site"), words, *[F.lit(None).cast(kind).alias(c) for c, kind in (("count", "int"), ("region", "string"), ("window", "int"))])
+    return w.what_if_extraction(docs.select(F.col("doc").alias("site"), "doc", "content"), registry, own.unionByName(none), list(range(1, 366)))
+
+
+def _titled(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Each customer's orders as rows, dates as periods, and a title that names the period of the second order."""
+    rows = table(spark, sf, "orders").selectExpr("o_custkey AS doc", "o_orderkey AS start", "cast(365 - o_orderkey % 300 as int) AS period", "cast(min(365 - o_orderkey % 300) over (partition by o_custkey) as int) AS title_period", "case when o_custkey % 2 = 0 then 'top' else 'bottom' end AS region", "4 AS window")
+    return g.titled_cycle_rows(rows)
+
+
+def _span_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Two rows of spans for every third period: the same value again for even ones, another for odd ones."""
+    rows = rows_written(spark, sf)
+    again = F.when(F.col("period") % 3 > 0, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    each = rows.select("*", F.explode(again).alias("k")).withColumn("v", F.when((F.col("k") == 1) & (F.col("period") % 2 == 1), F.concat_ws(".", "c", F.lit("49"), "a")).otherwise(F.concat_ws(".", "a", "b", "c")))
+    span = F.concat(F.lit("<span>"), F.col("period").cast("string"), F.lit("期</span><span>"), "v", F.lit("</span>"))
+    markup = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("period", "k", span.alias("s")))), lambda x: x["s"]), "\n")
+    return g.span_values(each.groupBy(F.col("site").cast("string").alias("url")).agg(markup.alias("html")), 9, 3)
+
+
 QUERIES = {
     "segments": lambda s, p: g.segments(pages(s, p).select("doc", "content")),
     "number_groups": _groups,
@@ -178,6 +221,14 @@ QUERIES = {
     "extract": lambda s, p: g.extract(pages(s, p)),
     "candidate_evidence": _evidence,
     "candidate_evidence_violations": _spoilt,
+    "identity_candidates": lambda s, p: _signed(s, p)[0],
+    "identity_problems": lambda s, p: _signed(s, p)[1],
+    "what_if_extraction": lambda s, p: _what_if(s, p)[0].drop("doc"),
+    "what_if_coverage": lambda s, p: w.coverage(_what_if(s, p)[0], list(range(1, 366))).drop("doc"),
+    "what_if_violations": lambda s, p: _what_if(s, p)[1],
+    "titled_cycle_rows": lambda s, p: _titled(s, p)[0],
+    "titled_cycle_problems": lambda s, p: _titled(s, p)[1],
+    "span_values": _span_values,
     "available_periods": lambda s, p: g.available_periods(g.candidate_rows(pages(s, p))),
     "diagnose_miss": lambda s, p: g.diagnose_miss(pages(s, p).withColumns({"count": F.when(F.col("doc") % 3 == 0, 4).otherwise(3), "keywords": F.when(F.col("doc") % 5 == 0, F.array(F.lit("五"))).otherwise(F.col("keywords"))}), [20, 21, 200]),
     "nearest_periods": lambda s, p: g.nearest_periods(rows_written(s, p), [100, 300], 20).select("site", "period", "distance", "nth"),
@@ -206,6 +257,19 @@ l AS (SELECT *, printf('%03d', period) || '期 十码 ' || a || '.' || b || '.'
 w AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY CASE WHEN site % 2 = 0 THEN n ELSE -n END) AS nth FROM l WHERE clean)
 """
 
+_SIGNED = """
+WITH k AS (SELECT l_suppkey AS site, CAST(l_orderkey % 365 + 1 AS INTEGER) AS period, min(l_partkey) % 40 + 1 AS m FROM lineitem GROUP BY 1, 2),
+x AS (SELECT *, site % 2 = 1 AS odd, site % 2 = 1 AND period % 13 = 0 AS amb, array_to_string(list_transform(range(m, m + 10), lambda x: printf('%02d', CAST(x AS INTEGER))), ',') AS value FROM k WHERE site % 2 = 0 OR site % 9 <> 4),
+y AS (SELECT *, NOT amb AND row_number() OVER (PARTITION BY site, amb ORDER BY period DESC) <= 5 AS sel FROM x), v AS (SELECT *, min(period) FILTER (sel) OVER (PARTITION BY site) AS edge FROM y),
+problems AS (SELECT site AS doc, period, 'two signatures' AS problem FROM v WHERE amb AND (period = 26 OR period >= edge) UNION ALL SELECT DISTINCT site, CAST(NULL AS INTEGER), 'another author' FROM k WHERE site % 2 = 1 AND site % 9 = 4)"""
+_WHAT_IF = f"""{_R},
+c AS (SELECT *, CASE site % 3 WHEN 0 THEN 8 WHEN 1 THEN 3 ELSE 5 END AS wide FROM w WHERE (site % 2 = 0 OR site % 5 = 0) AND site % 14 > 0),
+d AS (SELECT site, period, CASE WHEN nth <= 5 THEN value END AS before, CASE WHEN site % 5 > 0 AND nth <= wide THEN value END AS after FROM c),
+changes AS (SELECT *, CASE WHEN before IS NULL THEN 'found' WHEN after IS NULL THEN 'lost' ELSE 'same' END AS change FROM d WHERE before IS NOT NULL OR after IS NOT NULL)"""
+_TITLED = """
+WITH o AS (SELECT o_custkey AS doc, o_orderkey AS start, CAST(365 - o_orderkey % 300 AS INTEGER) AS period, min(365 - o_orderkey % 300) OVER (PARTITION BY o_custkey) AS title FROM orders),
+n AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY doc ORDER BY CASE WHEN doc % 2 = 0 THEN start ELSE -start END) <= 4), t AS (SELECT *, bool_or(period = title) OVER (PARTITION BY doc) AS titled FROM n)"""
+
 ORACLES = {
     "segments": f"{_R} SELECT site AS doc, n, n * 22 AS start, period, line || CASE WHEN n < rows - 1 THEN chr(10) ELSE '' END AS segment FROM l",
     "number_groups": f"{_R} SELECT site, period, 0 AS strict, a || ',' || b || ',' || c || ',0' || (period % 9 + 1) AS relaxed FROM r",
@@ -218,6 +282,16 @@ FROM w WHERE nth <= 5 AND site % 20 <> 7 UNION ALL SELECT DISTINCT site, CAST(NU
  CASE period % 11 WHEN 0 THEN CASE WHEN n = rows - 1 THEN 'out of range' ELSE 'another period' END WHEN 1 THEN 'another section' WHEN 2 THEN 'another period' WHEN 3 THEN 'another URL'
  WHEN 4 THEN 'out of range' WHEN 5 THEN 'altered' WHEN 6 THEN 'incomplete' WHEN 7 THEN 'another value' END AS violation FROM w WHERE nth <= 5 AND site % 20 <> 7)
 SELECT * FROM v WHERE violation IS NOT NULL""",
+    "identity_candidates": f"{_SIGNED} SELECT site AS doc, period, value FROM v WHERE sel AND site NOT IN (SELECT doc FROM problems)",
+    "identity_problems": f"{_SIGNED} SELECT * FROM problems",
+    "what_if_extraction": f"{_WHAT_IF} SELECT * FROM changes",
+    "what_if_coverage": f"{_WHAT_IF} SELECT site, CAST(count(before) AS INTEGER) AS found_before, CAST(count(after) AS INTEGER) AS found_after, CAST(365 - count(before) AS INTEGER) AS missing_before, CAST(365 - count(after) AS INTEGER) AS missing_after FROM changes GROUP BY site",
+    "what_if_violations": f"{_R} SELECT CAST(-1 AS BIGINT) AS site, 'unknown site' AS violation UNION ALL SELECT DISTINCT site, 'region' FROM l WHERE site % 14 = 0",
+    "titled_cycle_rows": f"{_TITLED} SELECT doc, start, period FROM t WHERE titled",
+    "titled_cycle_problems": f"{_TITLED} SELECT DISTINCT doc, 'the title''s period is not in the window' AS problem FROM t WHERE NOT titled",
+    "span_values": f"""{_R}, e AS (SELECT site, period, unnest(CASE WHEN period % 3 > 0 THEN [0] ELSE [0, 1] END) AS k, value, c || ',49,' || a AS other FROM l),
+f AS (SELECT site, period, CASE WHEN k = 1 AND period % 2 = 1 THEN other ELSE value END AS v FROM e QUALIFY row_number() OVER (PARTITION BY site ORDER BY period, k) <= 9)
+SELECT CAST(site AS VARCHAR) AS url, period, CASE WHEN count(DISTINCT v) = 1 THEN min(v) END AS value, CASE WHEN count(DISTINCT v) > 1 THEN 'ambiguous' END AS problem FROM f GROUP BY site, period""",
     "available_periods": f"{_R} SELECT site AS doc, period, n * 22 AS pos FROM w WHERE nth <= 5",
     "diagnose_miss": f"""{_R} SELECT l.site AS doc, l.period, CASE WHEN l.site % 5 = 0 THEN 'keyword' WHEN l.site % 3 = 0 THEN 'wrong size' WHEN NOT l.clean THEN 'repeats' ELSE 'outside window' END AS reasons
 FROM l LEFT JOIN w ON w.site = l.site AND w.period = l.period AND w.nth <= 5 WHERE l.period IN (20, 21, 200) AND (l.site % 5 = 0 OR l.site % 3 = 0 OR w.site IS NULL)""",
@@ -235,12 +309,12 @@ WITH o AS (SELECT o_custkey AS doc, o_orderkey AS start, CAST(dayofyear(o_orderd
 j AS (SELECT *, CASE WHEN period - lag(period) OVER (PARTITION BY doc ORDER BY start) >= 300 THEN start END AS j FROM o)
 SELECT doc, start, period, min(j) OVER (PARTITION BY doc) AS seam FROM j""",
     "cycle_blocks": """
-WITH o AS (SELECT o_custkey AS doc, o_orderkey AS start, CASE WHEN o_orderkey % 10 < 5 THEN 365 ELSE 1 END AS period FROM orders WHERE o_custkey % 3 = 0),
+WITH o AS (SELECT o_custkey AS doc, o_orderkey AS start, CASE WHEN o_orderkey % 10 < 5 THEN 365 ELSE 1 END AS period FROM orders),
 s AS (SELECT *, coalesce(CAST(lag(period) OVER (PARTITION BY doc ORDER BY start) = 365 AND period = 1 AS INTEGER), 0) AS s FROM o),
 b AS (SELECT doc, start, period, CAST(sum(s) OVER (PARTITION BY doc ORDER BY start) AS INTEGER) AS block FROM s)
 SELECT doc, start, period, block, max(block) OVER (PARTITION BY doc) + 1 AS blocks FROM b""",
     "current_cycle_rows": """
-WITH o AS (SELECT o_custkey AS doc, o_orderkey AS start, CASE WHEN o_orderkey % 10 < 5 THEN 365 ELSE 1 END AS period FROM orders WHERE o_custkey % 3 = 0),
+WITH o AS (SELECT o_custkey AS doc, o_orderkey AS start, CASE WHEN o_orderkey % 10 < 5 THEN 365 ELSE 1 END AS period FROM orders),
 s AS (SELECT *, coalesce(CAST(lag(period) OVER (PARTITION BY doc ORDER BY start) = 365 AND period = 1 AS INTEGER), 0) AS s FROM o),
 b AS (SELECT doc, start, period, sum(s) OVER (PARTITION BY doc ORDER BY start) AS block FROM s)
 SELECT doc, start, period FROM b QUALIFY block = 0 AND max(block) OVER (PARTITION BY doc) <= 1""",

@@ -233,12 +233,23 @@ def round_report(results: DataFrame, failures: DataFrame) -> DataFrame:
     return good.unionByName(bad)
 
 
+#: Why a period gave nothing where no file says so.
+NO_RECEIPT, NO_RECORD = "no receipt of this run", "in neither file of this run"
+
+
 def all_periods_failed(runs: DataFrame, registry: DataFrame, periods: list[int]) -> DataFrame:
-    """Sites that fail in every one of ``periods`` among ``runs(site, period, ok, reason, receipt)``; only runs with a valid
-    receipt count. One row for each, with the last reason."""
-    valid = runs.filter(F.col("receipt") & F.col("period").isin(periods))
-    per_site = valid.groupBy("site").agg(F.bool_or("ok").alias("any"), F.count_distinct(F.when(~F.col("ok"), F.col("period"))).alias("failed"), F.max_by("reason", "period").alias("reason"))
-    return registry.select("site").join(per_site.filter((F.col("failed") == len(set(periods))) & ~F.col("any")), "site").select("site", "failed", "reason")
+    """Sites of ``registry(site)`` without a success in any of ``periods`` among ``runs(site, period, ok, reason, receipt)``:
+    site, reasons (array of period and reason, in order of the periods).
+
+    Only what has a valid receipt counts. A period's reason is the failure's; a row without receipt says that there is
+    none, and a site that a run doesn't have is in neither of its files.
+    """
+    wanted = sorted(set(periods))
+    own = runs.filter(F.col("period").isin(wanted)).groupBy("site", "period").agg(F.bool_or(F.col("receipt") & F.col("ok")).alias("ok"), F.min(F.when(F.col("receipt") & ~F.col("ok"), F.coalesce("reason", F.lit("")))).alias("reason"))
+    told = own.groupBy("site").agg(F.bool_or("ok").alias("any"), F.map_from_entries(F.collect_list(F.struct("period", F.coalesce("reason", F.lit(NO_RECEIPT)).alias("reason")))).alias("told"))
+    failed = registry.select("site").distinct().join(told, "site", "left").filter(~F.coalesce("any", F.lit(False)))
+    reasons = F.array(*[F.struct(F.lit(p).alias("period"), F.coalesce(F.try_element_at("told", F.lit(p)), F.lit(NO_RECORD)).alias("reason")) for p in wanted])
+    return failed.select("site", reasons.alias("reasons"))
 
 
 def receipts(results: DataFrame, failures: DataFrame, registry: DataFrame) -> DataFrame:
