@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -144,7 +144,7 @@ def success_rate_gate(states: DataFrame, percent: int = 80) -> DataFrame:
     return counts.withColumn("open", F.col("succeeded") * 100 > F.col("total") * percent)
 
 
-def progress(states: DataFrame, name: str = "progress") -> DataFrame:
+def progress(states: DataFrame, name: str | Observation = "progress") -> DataFrame:
     """``states(ok)`` with counters of what passes, to be read from an observation of that name."""
     return states.observe(name, F.count(F.lit(1)).alias("done"), F.count_if("ok").alias("succeeded"), F.count_if(~F.col("ok")).alias("failed"))
 
