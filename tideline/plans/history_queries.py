@@ -106,7 +106,7 @@ QUERIES = {
     "update_history": _updated,
     "merge_round_stream": _streamed,
     "site_history_stream": lambda s, p: keyed.site_history(s, f"{_keyed(s, p)}/checkpoint"),
-    "site_changes_stream": lambda s, p: s.read.schema(keyed.CHANGES).parquet(f"{_keyed(s, p)}/changes"),
+    "site_changes_stream": lambda s, p: s.read.parquet(f"{_keyed(s, p)}/changes").select(*h.COLUMNS),
     "round_violations": _broken_round,
     "contract_drift": lambda s, p: h.contract_drift(*_contracts(s, p)),
     "history_violations": lambda s, p: h.history_violations(states(s, p).unionByName(states(s, p).filter("period = 30 and state = 'success'").withColumn("value", F.lit("x"))), registry(s, p), 10),

@@ -7,9 +7,11 @@ store itself is read as a table, so the history at hand is the state and nothing
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -19,6 +21,7 @@ from ..operators import history as h
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 WINDOW = "period int, state string, value string, reason string"
 CHANGES = "site_name string, site_url string, period int, state string, value string, reason string"
+NO_REASON = h.NO_REASON
 #: A period of one site: its state, value and reason.
 State = tuple[str, str | None, str | None]
 
@@ -73,7 +76,7 @@ class SiteWindows(StatefulProcessor):
                 if r.state == "success":
                     new.setdefault(int(r.period), set()).add(("success", r.value, None))
                 else:
-                    reason = r.reason if (r.reason or "").strip(" ") else h.NO_REASON
+                    reason = r.reason if (r.reason or "").strip(" ") else NO_REASON
                     for period in [int(r.period)] if r.period is not None else self.requested or []:
                         new.setdefault(period, set()).add(("failed", None, reason))
         wrong = refusal(new, self.requested, enabled)
@@ -97,6 +100,8 @@ def site_changes(rounds: DataFrame, history: DataFrame | None = None, registry:
     joined to each batch, so a registry that is read from files is as new as the batch. A period below its site's window
     is dropped, however late it comes. Anything that can't be merged fails the batch, which leaves all state as it was.
     """
+    # The processes that run a stream's Python need not have this package: what they call goes to them by value.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     rounds.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     if registry is None:
         known = rounds.withColumn("enabled", F.lit(True))
