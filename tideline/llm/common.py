@@ -57,11 +57,13 @@ def rows_of(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
     """The rows of ``docs`` that have (left_semi) or lack (left_anti) their doc_id and text among ``found(doc_id,
     text_hash)``, with two keys beside them: columns row (all of a row's), own_id and own_hash.
 
-    A row travels as one struct, so no name of its columns can clash.
+    A row travels as one struct, so no name of its columns can clash. The keys are never null (a null doc_id is ''), so
+    what groups by them after the join needs no second shuffle of the texts.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_hash"))
-    theirs = found.select(F.col("doc_id").alias("their_id"), F.col("text_hash").alias("their_hash"))
-    return rows.join(theirs, F.col("own_id").eqNullSafe(F.col("their_id")) & (F.col("own_hash") == F.col("their_hash")), how)
+    key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), key.alias("own_id"), F.xxhash64("text").alias("own_hash"))
+    theirs = found.select(key.alias("own_id"), F.col("text_hash").alias("own_hash"))
+    return rows.join(theirs, ["own_id", "own_hash"], how)
 
 
 def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
