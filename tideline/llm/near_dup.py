@@ -219,9 +219,9 @@ def _blocks_linked(p: NearDup):
     return run
 
 
-def block_links(rows: DataFrame, classes: DataFrame, docs: DataFrame, p: NearDup) -> DataFrame:
+def block_links(rows: DataFrame, classes: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
     """Links between components among ``rows(key, n, node, component)``: classes of a bucket of n, by their full sets."""
-    sets = class_texts(rows.select("node").distinct(), classes, docs).mapInArrow(_shingled(p), "node long, shingles array<long>").filter("shingles is not null").dropDuplicates(["node"])
+    sets = texts.join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(_shingled(p), "node long, shingles array<long>").filter("shingles is not null").dropDuplicates(["node"])
     full = rows.join(sets, "node").join(classes.select("node", "sign"), "node")
     number = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = written(full.withColumns({"blocks": number, "block": F.pmod(F.xxhash64("node"), number).cast("int")}), "blocks")
@@ -231,8 +231,9 @@ def block_links(rows: DataFrame, classes: DataFrame, docs: DataFrame, p: NearDup
     return left.groupBy("key", "i", "j").cogroup(right.groupBy("key_", "i_", "j_")).applyInPandas(_blocks_linked(p), "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, p: NearDup) -> DataFrame:
-    """The ``pairs(a, b)`` of classes that are links: first by signatures, then on full sets."""
+def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
+    """The ``pairs(a, b)`` of classes that are links: first by signatures, then on full sets of ``texts``, which are
+    those of ``class_texts``."""
     spark = pairs.sparkSession
     left = classes.select(F.col("node").alias("a"), F.col("sign").alias("a_sign"), F.col("n_shingles").alias("a_n"))
     right = classes.select(F.col("node").alias("b"), F.col("sign").alias("b_sign"), F.col("n_shingles").alias("b_n"))
@@ -240,8 +241,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, p: NearDup)
     signed = pairs.join(left, "a").join(right, "b").filter(sized).select("a", "b", "a_sign", "b_sign")
     near = written(signed.mapInArrow(_agree(p), "a long, b long"), "candidates")
     wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    texts = class_texts(wanted, classes, docs)
-    side = lambda x: texts.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("d1", "d2", "text")])
+    own = texts.join(wanted, "node", "left_semi")
+    side = lambda x: own.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("d1", "d2", "text")])
     python_ready(spark)
     return near.join(side("a"), "a").join(side("b"), "b").mapInArrow(_confirm(p), "a long, b long").distinct()
 
@@ -295,7 +296,9 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     hubs = hubs.groupBy("n", "print").agg(F.min("key").alias("key"), F.min_by("hub", "key").alias("hub")).select("key", "hub")
     members = written(banded.join(hubs, "key"), "buckets")
     pairs = written(members.filter("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "pairs")
-    labels = connected_components(verified(pairs, classes, docs, p))
+    # All that the rounds compare is in some bucket: its texts are looked up once for all of them.
+    texts = written(class_texts(members.select("node").distinct(), classes, docs), "texts")
+    labels = connected_components(verified(pairs, classes, texts, p))
     still, tested = members.filter("node <> hub").select("key", "node"), pairs  # the hubs have met all others
     for turn in range(HUB_ROUNDS + 1):
         # Only buckets that hold several components can hold links that aren't known yet.
@@ -314,9 +317,9 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
         hub_of = many.filter("node = hub").select("key", F.col("component").alias("other"))
         spokes = many.join(hub_of, "key").filter("component <> other").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
         fresh = written((across if turn == HUB_ROUNDS else across.unionByName(spokes)).distinct().join(tested, ["a", "b"], "left_anti"), f"pairs{turn}")
-        found = [] if fresh.isEmpty() else [verified(fresh, classes, docs, p)]
+        found = [] if fresh.isEmpty() else [verified(fresh, classes, texts, p)]
         if turn == HUB_ROUNDS and not many.isEmpty():
-            found.append(block_links(many.select("key", "n", "node", "component"), classes, docs, p))
+            found.append(block_links(many.select("key", "n", "node", "component"), classes, texts, p))
         if found:
             labels = merged(labels, written(reduce(DataFrame.unionByName, found), f"links{turn}"))
         tested = tested.unionByName(fresh)
