@@ -286,7 +286,7 @@ _ARTICLE = "id string, author string, name string, title string, body string"
 def _plain(text: Column) -> Column:
     """Base64 decoded, if it is valid, at least 8 characters and printable; the text itself otherwise."""
     decoded = F.try_to_binary(text, F.lit("base64")).cast("string")
-    ok = (F.length(text) >= 8) & text.rlike("^[A-Za-z0-9+/]+={0,2}$") & decoded.isNotNull() & ~decoded.rlike(r"[\x00-\x08\x0e-\x1f\ufffd]")
+    ok = (F.length(text) >= 8) & text.rlike(r"^[A-Za-z0-9+/]+={0,2}\z") & decoded.isNotNull() & ~decoded.rlike(r"[\x00-\x08\x0e-\x1f\ufffd]")
     return F.when(F.coalesce(ok, F.lit(False)), decoded).otherwise(text)
 
 
