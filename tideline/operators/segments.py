@@ -29,30 +29,41 @@ SEAM_JUMP = 300
 WINDOW_ROWS = 3
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _segments(text: Column) -> Column:
+    """The segments of a text in their order, as an array of n, start, segment and period."""
+
+    def cut(pieces: Column) -> Column:
+        ends = F.aggregate(F.transform(pieces, F.length), F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+        period = lambda x: t.try_period(F.regexp_extract(x, HEAD, 1))
+        return _let(ends, lambda at: F.transform(pieces, lambda x, i: F.struct(i.alias("n"), F.get(at, i).alias("start"), x.alias("segment"), period(x).alias("period"))))
+
+    return F.filter(_let(F.split(text, BOUNDARY), cut), lambda x: x["period"].isNotNull())
+
+
 def segments(docs: DataFrame) -> DataFrame:
     """One row for each segment: doc, n (from 0), start, period, segment, and what ``docs`` has besides content.
 
     A text is cut before every label and before line starts like "12:". Pieces that begin with a label of 1 to 999 are
     segments; the others, and labels out of range, end the one before and open none.
     """
-    pieces = F.split("content", BOUNDARY)
-    lengths = F.transform(pieces, F.length)
-    ends = F.aggregate(lengths, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
-    rows = docs.withColumns({"__pieces": pieces, "__ends": ends})
-    cut = rows.select(*[c for c in docs.columns if c != "content"], F.posexplode(F.arrays_zip("__pieces", F.slice("__ends", F.lit(1), F.size("__pieces")).alias("at"))).alias("n", "p"))
-    found = cut.select(*[c for c in docs.columns if c != "content"], "n", F.col("p.at").alias("start"), F.col("p.__pieces").alias("segment"))
-    period = t.try_period(F.regexp_extract("segment", HEAD, 1))
-    return found.withColumn("period", period).filter("period is not null")
+    carried = [c for c in docs.columns if c != "content"]
+    found = docs.select(*carried, F.explode(_segments(F.col("content"))).alias("x"))
+    return found.select(*carried, "x.n", "x.start", "x.segment", "x.period")
 
 
 def owned_text(segment: Column) -> Column:
     """What of a segment belongs to its period: its lines after the label, up to one that has another label."""
-    body = F.regexp_replace(segment, HEAD, "")
-    lines = F.split(body, "\n")
-    other = F.transform(lines, lambda x: x.rlike(r"(?<!\d)\d+(?U:\s)*[期棋]|^\s*\d+\s*[:：]"))
-    rest = F.slice(other, F.lit(2), F.greatest(F.size(other) - 1, F.lit(0)))
-    stop = F.array_position(rest, True)
-    return F.array_join(F.slice(lines, F.lit(1), F.when(stop > 0, stop.cast("int")).otherwise(F.size(lines))), "\n")
+
+    def own(lines: Column) -> Column:
+        other = F.transform(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: x.rlike(r"(?<!\d)\d+(?U:\s)*[期棋]|^\s*\d+\s*[:：]"))
+        return _let(F.array_position(other, True), lambda stop: F.array_join(F.slice(lines, F.lit(1), F.when(stop > 0, stop.cast("int")).otherwise(F.size(lines))), "\n"))
+
+    return _let(F.split(F.regexp_replace(segment, HEAD, ""), "\n"), own)
 
 
 def _groups(text: Column, relaxed: bool) -> Column:
@@ -62,11 +73,6 @@ def _groups(text: Column, relaxed: bool) -> Column:
     return F.filter(groups, lambda g: g.isNotNull())
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def number_groups(text: Column, relaxed: bool = False) -> Column:
     """Groups of three or more numbers, longest first.
 
@@ -97,8 +103,8 @@ def groups_for_count(text: Column, count: Column) -> Column:
 
 def keyword_match(segment: Column, keywords: Column) -> Column:
     """Whether a segment holds any of the (normalised) keywords; no keywords match everything."""
-    plain = t.normalize_keyword(segment, folded=False)
-    return (F.coalesce(F.size(keywords), F.lit(0)) <= 0) | F.exists(keywords, lambda k: F.contains(plain, k))
+    held = _let(t.normalize_keyword(segment, folded=False), lambda plain: F.exists(keywords, lambda k: F.contains(plain, k)))
+    return (F.coalesce(F.size(keywords), F.lit(0)) <= 0) | held
 
 
 def cycle_seam(rows: DataFrame) -> DataFrame:
@@ -137,17 +143,70 @@ def sequence_window(rows: DataFrame, default_rows: int = WINDOW_ROWS) -> DataFra
     return direction_window(placed, default_rows).withColumns({"doc": F.col("__doc"), "start": F.col("__start")}).drop("__doc", "__start")
 
 
+def _seam(rows: Column) -> Column:
+    """``cycle_seam`` of a document's array of segments."""
+    following = F.slice(rows, F.lit(2), F.size(rows))
+    return F.array_min(F.zip_with(rows, following, lambda a, b: F.when(b["period"] - a["period"] >= SEAM_JUMP, b["start"])))
+
+
+def _in_window(rows: Column, region: Column, window: Column, default_rows: int = WINDOW_ROWS) -> Column:
+    """``direction_window`` of a document's array of rows: an array of ``in_window``."""
+    bottom = F.coalesce(region == "bottom", F.lit(False))
+    live = lambda x: (x["seam"].isNull() | (x["start"] < x["seam"])) & x["value"].isNotNull()
+    keys = F.transform(rows, lambda x: F.when(live(x), F.concat_ws(":", x["period"].cast("string"), x["value"])))
+
+    def marks(counted: Column) -> Column:
+        """``counted``: the keys from the window's end on; a key counts where it stands first."""
+        most = F.greatest(F.coalesce(window, F.lit(default_rows)), F.lit(0))
+        kept = F.slice(F.array_distinct(F.array_compact(counted)), F.lit(1), most)
+        return _let(kept, lambda keep: F.transform(counted, lambda k, i: F.coalesce(F.array_contains(keep, k) & (F.array_position(counted, k) == i + 1), F.lit(False))))
+
+    inside = _let(F.when(bottom, F.reverse(keys)).otherwise(keys), marks)
+    return F.when(region.isin("top", "bottom"), F.when(bottom, F.reverse(inside)).otherwise(inside))
+
+
+def _usable(rows: Column) -> Column:
+    """A document's array of rows with ``usable``: in the window, or of a period of which the window holds nothing, newer
+    than all it holds. Rows of the year before are not."""
+    live = lambda x: x["seam"].isNull() | (x["start"] < x["seam"])
+    inside = lambda x: F.coalesce(x["in_window"], F.lit(True))
+    periods = lambda kept: F.transform(F.filter(rows, kept), lambda x: x["period"])
+    state = F.struct(F.array_max(periods(lambda x: live(x) & x["in_window"])).alias("newest"), F.array_distinct(periods(lambda x: live(x) & inside(x) & (F.size(x["groups"]) > 0))).alias("held"))
+    newer = lambda x, of: F.coalesce(of["newest"] < x["period"], F.lit(False)) & ~F.array_contains(of["held"], x["period"])
+    return _let(state, lambda of: F.transform(rows, lambda x: x.withField("usable", live(x) & (inside(x) | newer(x, of)))))
+
+
 def candidate_rows(docs: DataFrame, allow_repeats: bool = False) -> DataFrame:
-    """Segments of ``docs(doc, content, keywords, count, region, window, ...)`` with their groups, seam and window.
+    """Segments of ``docs(doc, content, keywords, count, region, window, ...)``, one row for each doc, with their groups,
+    seam and window.
 
     ``keywords`` are normalised. ``groups`` are those of the wanted size; ``value`` is the first of them without repeats
-    (the first of all with ``allow_repeats``), joined by commas, by which rows are told apart in the window.
+    (the first of all with ``allow_repeats``), joined by commas, by which rows are told apart in the window. ``usable`` rows
+    are those that ``select_candidates`` chooses from. All of it is worked out within the document's own row, so no task
+    sorts or keeps the segments of many documents.
     """
-    # The seam is that of all segments, not only of those with the keywords, so it comes first.
-    found = cycle_seam(segments(docs)).filter(keyword_match(F.col("segment"), F.col("keywords")))
-    sized = found.withColumn("__owned", owned_text(F.col("segment"))).withColumn("groups", groups_for_count(F.col("__owned"), F.col("count"))).drop("__owned")
-    clean = F.col("groups") if allow_repeats else F.filter("groups", lambda g: ~t.has_repeats(g))
-    return direction_window(sized.withColumn("value", F.array_join(F.try_element_at(clean, F.lit(1)), ",")))
+    count, keywords, region, window = (F.col(c) for c in ("count", "keywords", "region", "window"))
+
+    def sized(x: Column, seam: Column) -> Column:
+        def row(groups: Column) -> Column:
+            clean = groups if allow_repeats else F.filter(groups, lambda g: ~t.has_repeats(g))
+            value = F.array_join(F.try_element_at(clean, F.lit(1)), ",")
+            return F.struct(*[x[c].alias(c) for c in ("n", "start", "segment", "period")], seam.alias("seam"), groups.alias("groups"), value.alias("value"))
+
+        return _let(_let(owned_text(x["segment"]), lambda text: groups_for_count(text, count)), row)
+
+    def found(rows: Column) -> Column:
+        # The seam is that of all segments, not only of those with the keywords, so it comes first.
+        matching = F.filter(rows, lambda x: keyword_match(x["segment"], keywords))
+        return _let(_seam(rows), lambda seam: F.transform(matching, lambda x: sized(x, seam)))
+
+    def windowed(rows: Column) -> Column:
+        return _let(_in_window(rows, region, window), lambda marks: F.transform(rows, lambda x, i: x.withField("in_window", F.get(marks, i))))
+
+    carried = [c for c in docs.columns if c != "content"]
+    names = ("n", "start", "segment", "period", "seam", "groups", "value", "in_window", "usable")
+    rows = _let(_let(_let(_segments(F.col("content")), found), windowed), _usable)
+    return docs.select(*carried, F.explode(rows).alias("x")).select(*carried, *[f"x.{c}" for c in names])
 
 
 def select_candidates(rows: DataFrame, strict: bool = True, prefer_pending: bool = False, allow_repeats: bool = False) -> DataFrame:
@@ -159,10 +218,7 @@ def select_candidates(rows: DataFrame, strict: bool = True, prefer_pending: bool
     only pending one, or the one nearest the document's end of interest. A column ``place`` of a document comes through.
     """
     carried = [F.first("place").alias("place")] if "place" in rows.columns else []
-    live = rows.filter(F.col("seam").isNull() | (F.col("start") < F.col("seam")))
-    newest = F.max(F.when(F.col("in_window"), F.col("period"))).over(Window.partitionBy("doc"))
-    has_inside = F.bool_or(F.coalesce("in_window", F.lit(True)) & (F.size("groups") > 0)).over(Window.partitionBy("doc", "period"))
-    usable = live.withColumns({"__newest": newest, "__inside": has_inside}).filter(F.coalesce("in_window", F.lit(True)) | (~F.col("__inside") & (F.col("__newest") < F.col("period"))))
+    usable = rows.filter("usable")
     each = usable.select("doc", "period", "start", "region", "segment", *["place"][: len(carried)], F.posexplode("groups").alias("i", "group"))
     clean = (each if allow_repeats else each.filter(~t.has_repeats(F.col("group")))).withColumns({"value": F.array_join("group", ","), "pending": t.pending_marker(F.col("segment"))})
     at = F.struct("start", "i")
