@@ -63,3 +63,10 @@ def test_readiness_of_values_and_of_one_site(spark):
     registry = spark.createDataFrame([("a", "u", 2, True, None), ("b", "u", 2, None, True)], "site_name string, site_url string, count int, allow_repeats boolean, disabled boolean").withColumn("recent_history_count", F.lit(4))
     got = {(r.site_name, r.period, r.reason) for r in d.readiness_problems(rows, registry, 4).collect()}
     assert got == {("a", 3, "not a number"), ("a", 4, "wrong size"), ("b", None, "incomplete"), ("b", None, "not enabled"), ("", None, "fewer than two sites")}
+
+
+def test_joins_of_names_are_no_broadcasts(spark):
+    # Files of names are small and their rows are not: only the few lengths of grams go to every task.
+    plan = q.QUERIES["resolve_url"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert joins and all("[n#" in line for line in joins)
