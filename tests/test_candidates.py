@@ -6,6 +6,8 @@ import re
 from pyspark.sql import functions as F
 
 from tideline.functions import text as t
+from tideline.operators import evidence as e
+from tideline.operators import identity as i
 from tideline.operators import segments as g
 
 
@@ -39,3 +41,14 @@ def test_usable_rows(spark):
         want[r.doc, r.start] = r in live and (r.in_window is not False or (not held and newest is not None and newest < r.period))
     assert {(r.doc, r.start): r.usable for r in rows} == want
     assert any(r.usable and r.in_window is False for r in rows) and any(not r.usable for r in rows)
+
+
+def test_identity_and_evidence_sort_no_segments(spark):
+    pages_ = spark.createDataFrame([("d", "x", "a", "b", "top", 2, [1], False)], "doc string, content string, author string, row_anchor string, region string, window int, requested array<int>, skip_repeats boolean").localCheckpoint()
+    for rows in i.identity_candidates(pages_):
+        assert not re.search(r"\bWindow\b|\bSort \[|Exchange|Join", rows._jdf.queryExecution().executedPlan().toString())
+    docs = pages(spark).withColumns({"kind": F.lit("page"), "url": F.lit("u"), "anchor": F.lit(""), "stop_anchor": F.lit(""), "source_url_pattern": F.lit(""), "fingerprint": F.sha2("content", 256)}).localCheckpoint()
+    checked = e.evidence_violations(e.extract_located(docs).localCheckpoint(), docs)
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    # Pages are never deduplicated by an aggregate that holds them, and never stand in a window.
+    assert not re.search(r"\bWindow\b|first\((content|section)", plan)

@@ -51,12 +51,13 @@ def evidence_violations(found: DataFrame, docs: DataFrame) -> DataFrame:
     offsets, chooses it again for its period at the stored start.
     """
     e = lambda name: F.col(f"evidence.{name}")
-    own = docs.select("doc", "content", F.sha2("content", 256).alias("own_hash"), "source_url_pattern", "keywords", "count", "region", "window", "anchor", "stop_anchor")
-    rows = found.filter("value is not null").join(own, "doc", "left")
-    whole = located(docs).select("doc", F.struct("place.section_start", "place.section_end").alias("own_section"))
+    by_doc = found.filter("value is not null").groupBy("doc").agg(F.collect_list(F.struct("period", "value", "evidence")).alias("__found"))
+    # A page meets all its values in one row and is cut to its section there; rows of values that carry it are never sorted.
+    met = located(by_doc.join(docs, "doc", "left").withColumn("__whole", F.col("content")))
+    pages = met.select("doc", "__found", F.col("content").alias("section"), F.col("__whole").alias("content"), F.sha2("__whole", 256).alias("own_hash"), "source_url_pattern", "keywords", "count", "region", "window", F.struct("place.section_start", "place.section_end").alias("own_section"))
+    each = pages.select("doc", "content", "own_hash", "source_url_pattern", "count", "own_section", F.explode("__found").alias("f")).select("*", "f.period", "f.value", "f.evidence")
     piece = F.substring("content", e("candidate_start") + 1, e("section_end") - e("candidate_start"))
-    segment = F.split(piece, g.BOUNDARY)[0]
-    read = rows.join(whole, "doc", "left").withColumn("segment", F.when(e("section_end") > e("candidate_start"), segment))
+    read = each.withColumn("segment", F.when(e("section_end") > e("candidate_start"), F.split(piece, g.BOUNDARY, 2)[0]))
     values = F.transform(g.groups_for_count(g.owned_text(F.col("segment")), F.col("count")), lambda x: F.array_join(x, ","))
     pattern = F.coalesce(F.nullif("source_url_pattern", F.lit("")), F.lit(""))
     names = ("source_kind", "source_url", "fingerprint", "section_start", "section_end", "candidate_start")
@@ -75,10 +76,11 @@ def evidence_violations(found: DataFrame, docs: DataFrame) -> DataFrame:
     first = F.lit(None).cast("string")
     for check, name in zip(reversed(checks), reversed(VIOLATIONS[:-1]), strict=True):
         first = F.when(check, name).otherwise(first)
-    judged = read.withColumn("violation", first).select("doc", "period", "value", "evidence", "violation", "content", "keywords", "count", "region", "window")
-    good = judged.filter("violation is null")
-    # Sections that stand are extracted again, each once, whatever the number of values that name it.
-    sections = good.select("doc", e("section_start").alias("at"), F.substring("content", e("section_start") + 1, e("section_end") - e("section_start")).alias("content"), "keywords", "count", "region", "window").dropDuplicates(["doc", "at"])
+    judged = read.withColumn("violation", first).select("doc", "period", "value", "violation", (e("candidate_start") - e("section_start")).alias("at"))
+    # Sections that a value rightly names are extracted again, each once, whatever the number of values that name it.
+    named = g._let(F.col("own_section"), lambda own: F.exists("__found", lambda x: F.struct(x["evidence"]["section_start"], x["evidence"]["section_end"]).eqNullSafe(own)))
+    # Not a filter, which would be pushed below the cutting of the page and do it again for each value.
+    sections = pages.select("doc", F.when(named, F.col("section")).alias("content"), "keywords", "count", "region", "window")
     again = g.extract(sections).select("doc", "period", F.col("value").alias("again"), "start")
-    lost = good.select("doc", "period", "value", "evidence").join(again, ["doc", "period"], "left").filter(~F.col("again").eqNullSafe(F.col("value")) | ~F.col("start").eqNullSafe(e("candidate_start") - e("section_start")))
-    return judged.filter("violation is not null").select("doc", "period", "value", "violation").unionByName(lost.select("doc", "period", "value", F.lit("not reproduced").alias("violation")))
+    lost = F.when(~F.col("again").eqNullSafe(F.col("value")) | ~F.col("start").eqNullSafe(F.col("at")), VIOLATIONS[-1])
+    return judged.join(again, ["doc", "period"], "left").select("doc", "period", "value", F.coalesce("violation", lost).alias("violation")).filter("violation is not null")
