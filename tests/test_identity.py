@@ -91,6 +91,29 @@ def test_what_other_contracts_find(spark):
     assert {r.site: tuple(r)[2:] for r in w.coverage(changes, [1, 2, 3]).collect()} == {"a": (2, 1, 1, 2), "c": (1, 3, 2, 0)}
 
 
+def test_contracts_meet_texts_without_sorting_them(spark):
+    words = F.array(t.normalize_keyword(F.lit("十码"), folded=False))
+    text = "\n".join(f"00{p}期 十码 0{p}.11.12" for p in (3, 2, 1))
+    docs = spark.createDataFrame([(s, d, text) for s in range(6) for d in "xy"], "site int, doc string, content string")
+    registry = spark.createDataFrame([(s, 3, "top", 2) for s in range(6)], "site int, count int, region string, window int").withColumn("keywords", words)
+    rows = [(0, None, None, 1), (1, None, None, 1), (1, None, None, 1), (2, None, "left", 0), (3, 4, None, None), (7, None, None, 1), (7, None, None, 1), (None, None, None, 1)]
+    overrides = spark.createDataFrame(rows, "site int, count int, region string, window int").withColumn("keywords", F.lit(None).cast("array<string>"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        # However large the registry is taken to be, texts go past a map of contracts.
+        for threshold in ("-1", held):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            changes, violations = w.what_if_extraction(docs, registry, overrides, [1, 2, 3])
+            plan = changes._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "Broadcast" not in plan
+            assert sorted((r.site, r.doc, r.period, r.change) for r in changes.collect()) == [(s, d, p, c) for s, p2, p3 in ((0, "lost", "same"), (3, "lost", "lost")) for d in "xy" for p, c in ((2, p2), (3, p3))]
+            assert sorted(((r.site is None, r.site, r.violation) for r in violations.collect()), key=str) == sorted(
+                [(False, 1, "two overrides"), (False, 2, "region"), (False, 2, "window is not positive"), (False, 7, "two overrides"), (False, 7, "unknown site"), (True, None, "unknown site")], key=str
+            )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
 def test_markup_in_its_order(spark):
     cases = {"<style><script></style>x</script>y": "y", "<script>a</script>b<style>c</style>d": "b\nd", "&lt;b&gt;x": "x", "a<br/>b</p>c\r\n\n d": "a\nb\nc\nd"}
     rows = spark.createDataFrame(list(cases.items()), "html string, want string")
