@@ -9,6 +9,8 @@ from tideline.functions import text as t
 from tideline.operators import evidence as e
 from tideline.operators import identity as i
 from tideline.operators import segments as g
+from tideline.plans import segment_queries as q
+from tests.oracle import DATA
 
 
 def pages(spark):
@@ -52,3 +54,15 @@ def test_identity_and_evidence_sort_no_segments(spark):
     plan = checked._jdf.queryExecution().executedPlan().toString()
     # Pages are never deduplicated by an aggregate that holds them, and never stand in a window.
     assert not re.search(r"\bWindow\b|first\((content|section)", plan)
+
+
+def test_other_contracts_are_joined_alike_at_every_size(spark):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in ("-1", held):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            for name in ("what_if_extraction", "what_if_coverage"):
+                plan = q.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+                assert "SortMergeJoin" not in plan and "Broadcast" not in plan and plan.count("ShuffledHashJoin") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
