@@ -4,9 +4,11 @@ import random
 
 import pytest
 
+from tests.oracle import DATA
 from tests.test_classes import records
 from tests.test_duplicates import runs_by_rule
 from tideline.operators import duplicates as d
+from tideline.plans import duplicate_queries
 
 
 def equal_sites(seed, chains=30):
@@ -52,3 +54,9 @@ def test_values_of_equal_sites_are_passed_on_once(spark):
     frame = records(spark, [(f"s{n}", p, "abc"[p % 3]) for n in range(300) for p in range(1, 8)])
     values = d.pair_run_values(frame)
     assert values.count() == 300 * 299 // 2 * 7 and passed_on(values) < 300 * 299 // 2 / 50
+
+
+def test_pairs_of_twins_are_not_shuffled(spark):
+    plan = duplicate_queries.QUERIES["site_run_class_pairs"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    after = plan[: plan.index("MapInArrow")]
+    assert "Exchange" not in after.split("Initial Plan")[0] and "Join" not in after
